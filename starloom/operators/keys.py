@@ -26,19 +26,21 @@ def with_dense_id(df: DataFrame, order_cols: list[str], id_col: str, start: int
 
     The remaining columns break ties, so the numbering is repeatable. Rows are
     range-partitioned on the whole ordering: sampled bounds give even ranges
-    whatever a single day, user or key holds, as long as few rows are exact
-    copies. Each range is sorted and numbered by itself, and the
-    ranges' row counts, one row per partition, give the offsets. No step puts
-    all rows into one partition.
+    whatever a single day, user or key holds, and copies of one row are split by
+    the partition they come from. Each range is sorted and numbered by itself,
+    and the ranges' row counts, one row per partition, give the offsets. No step
+    puts all rows into one partition.
 
-    The numbered ranges are written once: the counting pass reads two narrow
-    columns of it, and both passes see the same ranges.
+    The numbered ranges are written once: the counting pass reads one narrow
+    column of it, and both passes see the same ranges.
     """
     rest = [c for c in df.columns if c not in order_cols]
     ordering: list[Column] = [F.col(f"`{c}`").asc_nulls_first() for c in [*order_cols, *rest]]
     row = F.monotonically_increasing_id()
     numbered = materialize(
-        df.repartitionByRange(*ordering)
+        df.withColumn("_from", F.spark_partition_id())
+        .repartitionByRange(*ordering, "_from")
+        .drop("_from")
         .sortWithinPartitions(*ordering)
         .select(
             "*",

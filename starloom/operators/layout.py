@@ -12,7 +12,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
 
 log = logging.getLogger(__name__)
 
@@ -25,9 +26,6 @@ SKEW_ROWS = 1_000_000
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 100_000
 
-# Largest dimension that is replicated to every executor.
-REPLICATE_BYTES = 256 * 1024 * 1024
-
 
 @dataclass(frozen=True)
 class Layout:
@@ -86,7 +84,8 @@ def write_layout(
     adaptive execution splits the hot partitions.
 
     Sorted: ranges of the sort column, sorted inside, so that row-group
-    statistics let scans skip blocks.
+    statistics let scans skip blocks. A value with too many rows for one range
+    is split by the rest of the row and, for copies, by where they come from.
     """
     if bucket:
         n, col = bucket
@@ -99,7 +98,13 @@ def write_layout(
         writer = df.repartition(n, col).write.bucketBy(n, col)
         writer = writer.sortBy(sort) if sort else writer
     elif sort:
-        writer = df.repartitionByRange(sort).sortWithinPartitions(sort).write
+        writer = (
+            df.withColumns({"_hash": F.xxhash64(*df.columns), "_from": F.spark_partition_id()})
+            .repartitionByRange(sort, "_hash", "_from")
+            .drop("_hash", "_from")
+            .sortWithinPartitions(sort)
+            .write
+        )
     else:
         writer = df.write
     writer.mode(mode).format("parquet").saveAsTable(table)
@@ -137,23 +142,6 @@ def load_layout(
     return spark.createDataFrame(timings, "table_name string, seconds double")
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """Size of the values in ``df``, uncompressed, counted in one pass."""
-    fixed = 8 * len(df.columns)
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    text = sum(
-        (F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in texts),
-        F.lit(fixed).cast("long"),
-    )
-    return df.agg(F.sum(text)).first()[0] or 0
-
-
-def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES) -> DataFrame:
-    """``df`` marked for broadcast if its counted size is within ``max_bytes``,
-    else ``df`` as it is, to be joined by shuffle."""
-    return F.broadcast(df) if payload_bytes(df) <= max_bytes else df
-
-
 def read_layout(
     spark: SparkSession,
     db: str,

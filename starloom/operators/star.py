@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.temporal import calendar_parts, epoch_ms_to_seconds
+from starloom.operators.broadcasting import REPLICATE_BYTES, payload_bytes
 from starloom.operators.latest import latest_by
 
 # The page of a play, and the fact columns next to the key.
@@ -30,9 +31,9 @@ def songplay(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool =
 
     Both sides lose their copies before they meet: the result is distinct
     anyway, copies of a hot event collapse map-side instead of being shuffled,
-    and copies on both sides do not multiply. A small catalogue is broadcast by
-    its size; a large one is shuffled, and adaptive execution splits the
-    partitions of hot songs.
+    and copies on both sides do not multiply. A catalogue counted as small
+    enough is broadcast; a larger one is shuffled, and adaptive execution splits
+    the partitions of hot songs.
     """
 
     def name(column: str):
@@ -54,13 +55,12 @@ def songplay(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool =
         .where("_artist is not null and _title is not null")
         .distinct()
     )
-    catalogue = (
-        songs.select(
-            name("artist_name").alias("_artist"), name("title").alias("_title"), "song_id", "artist_id"
-        )
-        .where("_artist is not null and _title is not null")
-        .distinct()
-    )
+    names = songs.select(
+        name("artist_name").alias("_artist"), name("title").alias("_title"), "song_id", "artist_id"
+    ).where("_artist is not null and _title is not null")
+    # Counted before the distinct: an upper bound that costs no shuffle.
+    small = payload_bytes(names) <= REPLICATE_BYTES
+    catalogue = F.broadcast(names.distinct()) if small else names.distinct()
     return plays.join(catalogue, ["_artist", "_title"]).select(FACT_COLUMNS).distinct()
 
 
@@ -74,7 +74,8 @@ def users(events: DataFrame) -> DataFrame:
         "level",
         "ts",
     )
-    return latest_by(seen, ["user_id"], [F.col("ts").desc_nulls_first()]).drop("ts")
+    attributes = ["first_name", "last_name", "gender", "level"]
+    return latest_by(seen, ["user_id"], [F.col("ts").desc_nulls_first()], attributes).drop("ts")
 
 
 def songs(catalogue: DataFrame) -> DataFrame:
@@ -94,7 +95,9 @@ def artists(catalogue: DataFrame) -> DataFrame:
         F.col("artist_longitude").cast("double").alias("longitude"),
         "year",
     )
-    return latest_by(rows, ["artist_id"], [F.col("year").desc_nulls_first()]).drop("year")
+    attributes = ["name", "location", "latitude", "longitude"]
+    newest = F.col("year").desc_nulls_first()
+    return latest_by(rows, ["artist_id"], [newest], attributes).drop("year")
 
 
 def time_dim(plays: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Star Schema Benchmark queries.
 
 Dimensions are filtered and cut to the columns in use before they join, the
-most selective first. No join strategy is forced here: Spark broadcasts a
-dimension by its size and shuffles it beyond that, where adaptive execution
-splits hot keys. Tables read through ``operators.layout.read_layout`` may carry
-a broadcast hint of their own, given after a size check.
+most selective first. What is left of part, supplier and customer is counted:
+within ``max_bytes`` it is broadcast and the fact is not shuffled; beyond, it is
+shuffled, and adaptive execution splits hot keys. The calendar has one row per
+day and is small enough for Spark's own estimate.
 
 Money is in integer cents and multiplied as BIGINT: INTEGER products overflow,
 and double sums depend on the order of rows.
@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
+
 # The benchmark's own query parameters.
 YEAR = 1997
 DISCOUNTS = (1, 3)
@@ -55,14 +57,15 @@ def two_dim(
     s: DataFrame,
     category: str = CATEGORY,
     region: str = REGION,
+    max_bytes: int = REPLICATE_BYTES,
 ) -> DataFrame:
     """Revenue by year and brand, for one category and one supplier region."""
     parts = p.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
     suppliers = s.where(F.col("s_region") == region).select("s_suppkey")
     days = d.select("d_datekey", "d_year")
     return (
-        lo.join(parts, F.col("lo_partkey") == F.col("p_partkey"))
-        .join(suppliers, F.col("lo_suppkey") == F.col("s_suppkey"))
+        lo.join(replicate(parts, max_bytes), F.col("lo_partkey") == F.col("p_partkey"))
+        .join(replicate(suppliers, max_bytes), F.col("lo_suppkey") == F.col("s_suppkey"))
         .join(days, F.col("lo_orderdate") == F.col("d_datekey"))
         .groupBy("d_year", "p_brand1")
         .agg(_revenue().alias("revenue"))
@@ -77,6 +80,7 @@ def drill(
     c_cities: Sequence[str] = CITIES,
     s_cities: Sequence[str] = CITIES,
     yearmonth: str = YEARMONTH,
+    max_bytes: int = REPLICATE_BYTES,
 ) -> DataFrame:
     """Revenue by customer city, supplier city and year within one month."""
     days = d.where(F.col("d_yearmonth") == yearmonth).select("d_datekey", "d_year")
@@ -84,8 +88,8 @@ def drill(
     customers = c.where(F.col("c_city").isin(*c_cities)).select("c_custkey", "c_city")
     return (
         lo.join(days, F.col("lo_orderdate") == F.col("d_datekey"))
-        .join(suppliers, F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(customers, F.col("lo_custkey") == F.col("c_custkey"))
+        .join(replicate(suppliers, max_bytes), F.col("lo_suppkey") == F.col("s_suppkey"))
+        .join(replicate(customers, max_bytes), F.col("lo_custkey") == F.col("c_custkey"))
         .groupBy("c_city", "s_city", "d_year")
         .agg(_revenue().alias("revenue"))
         .orderBy(F.col("d_year").asc(), F.col("revenue").desc())
@@ -96,7 +100,8 @@ def same_dist(lo: DataFrame, p: DataFrame) -> DataFrame:
     """Revenue gain by order date, for lines whose part exists.
 
     Nothing of ``part`` is read but its key; the join drops orphan lines. With
-    both tables bucketed on the part key it needs no shuffle.
+    both tables bucketed on the part key it needs no shuffle, so part, which
+    nothing filters here, is left to Spark's own choice.
     """
     return (
         lo.join(p.select("p_partkey"), F.col("lo_partkey") == F.col("p_partkey"))
