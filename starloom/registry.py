@@ -256,8 +256,9 @@ def _write_catalogue(spark: SparkSession, sf_dir: str) -> str:
 
 
 def _write_gzip(df: DataFrame, label: str, sep: str) -> str:
+    """Written in files of even size: each is read back by one task."""
     path = scratch_path(df.sparkSession, label)
-    df.write.csv(path, sep=sep, compression="gzip")
+    df.hint("rebalance").write.csv(path, sep=sep, compression="gzip")
     return f"{path}/part*"
 
 

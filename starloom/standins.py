@@ -107,8 +107,9 @@ def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- star schema benchmark -----------------------------------------------------
 
 
-def _cents(amount: str) -> Column:
-    return F.round(F.col(amount) * 100).cast("long")
+def _hundredths(amount: str) -> Column:
+    """The nearest integer. ``round`` would go through BigDecimal per row."""
+    return F.rint(F.col(amount) * 100).cast("long")
 
 
 def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,9 +118,9 @@ def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("lo_custkey"),
         date_key(F.col("o_orderdate")).alias("lo_orderdate"),
         F.col("o_orderpriority").alias("lo_orderpriority"),
-        _cents("o_totalprice").alias("lo_ordertotalprice"),
+        _hundredths("o_totalprice").alias("lo_ordertotalprice"),
     )
-    price, discount = _cents("l_extendedprice"), F.round(F.col("l_discount") * 100).cast("int")
+    price, discount = _hundredths("l_extendedprice"), _hundredths("l_discount").cast("int")
     lines = source(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("lo_orderkey"),
         F.col("l_linenumber").alias("lo_linenumber"),
@@ -131,7 +132,7 @@ def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         discount.alias("lo_discount"),
         F.call_function("div", price * (100 - discount), F.lit(100)).alias("lo_revenue"),
         F.call_function("div", price * 6, F.lit(10)).alias("lo_supplycost"),
-        F.round(F.col("l_tax") * 100).cast("int").alias("lo_tax"),
+        _hundredths("l_tax").cast("int").alias("lo_tax"),
         date_key(F.col("l_shipdate")).alias("lo_commitdate"),
         F.concat(F.lit("MODE "), F.col("l_returnflag")).alias("lo_shipmode"),
     )

@@ -1,0 +1,43 @@
+import os
+import sys
+import uuid
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("starloom-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("OFF")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def database(spark, tmp_path):
+    from starloom.sources import use
+
+    return use(spark, f"test_{uuid.uuid4().hex[:10]}", str(tmp_path / "db"))
+
+
+def rows(df):
+    """Rows of a result as a sorted list of tuples, NULLs first."""
+    return sorted(
+        (tuple(r) for r in df.collect()), key=lambda r: [(v is not None, str(v)) for v in r]
+    )
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
