@@ -400,6 +400,14 @@ def oracle_sql() -> dict[str, str]:
         "ssb_drill": _rows_of("drill"),
         "ssb_same_dist": _rows_of("same_dist"),
         "layout_bucketed_join": _rows_of("same_dist"),
+        "layout_load": _over(
+            " ".join(_SSB.values()),
+            " UNION ALL ".join(
+                f"SELECT '{table}' AS table_name, count(*) AS rows_nodist, count(*) AS rows_dist "
+                f"FROM {name}"
+                for table, name in _SSB.items()
+            ),
+        ),
         "layout_agreement": _over(
             "one_dim two_dim drill same_dist",
             " UNION ALL ".join(

@@ -416,6 +416,24 @@ def layout_bucketed_join(spark, sf_dir):
     return plans.same_dist(spark.table(f"{db}.lineorder"), spark.table(f"{db}.part"))
 
 
+@query
+def layout_load(spark, sf_dir):
+    """Load the five tables from gzip files into both layouts; rows in each."""
+    root = scratch_path(spark, "ssb")
+    for name, df in standins.ssb(spark, sf_dir).items():
+        df.hint("rebalance").write.csv(f"{root}/{name}", sep="|", compression="gzip")
+    databases = {name: f"starloom_{name}_{uuid.uuid4().hex[:12]}" for name in layout.LAYOUTS}
+    locations = {name: scratch_path(spark, db) for name, db in databases.items()}
+    plans.load_both(spark, root, databases, locations)
+    counts = [
+        plans.row_counts({t: spark.table(f"{db}.{t}") for t in schemas.SSB}).withColumnRenamed(
+            "row_count", f"rows_{name}"
+        )
+        for name, db in databases.items()
+    ]
+    return counts[0].join(counts[1], "table_name")
+
+
 def _both_layouts(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
     """The five tables in both layouts; the second is copied from the first."""
     plain, spread = _database(spark, "nodist"), _database(spark, "dist")

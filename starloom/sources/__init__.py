@@ -8,6 +8,7 @@ from starloom.sources.tables import (
     insert_into,
     load_append,
     load_tables,
+    require,
     reset,
     use,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "read_delimited",
     "read_json_auto",
     "read_json_paths",
+    "require",
     "reset",
     "source_manifest",
     "use",
