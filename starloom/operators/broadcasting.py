@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,14 +11,27 @@ from pyspark.sql import types as T
 REPLICATE_BYTES = 64 * 1024 * 1024
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """Size of the values in ``df``: 8 bytes per value and the bytes of texts.
-    One pass over the columns, one number per task."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+def row_bytes(df: DataFrame) -> Column:
+    """Size of the values of a row: 8 bytes each, and the bytes of texts."""
     size = F.lit(8 * len(df.columns)).cast("long")
-    for name in texts:
-        size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
-    return df.agg(F.sum(size)).first()[0] or 0
+    for field in df.schema:
+        if isinstance(field.dataType, T.StringType):
+            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+    return size
+
+
+def payload_bytes(df: DataFrame) -> int:
+    """Size of the values in ``df``. One pass, one number per task."""
+    return df.agg(F.sum(row_bytes(df))).first()[0] or 0
+
+
+def key_profile(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Size of the values in ``df``, and the rows of the most frequent key: how
+    often a join on ``keys`` can multiply a row of the other side. Counts combine
+    map-side, so a frequent key sends one row per map task."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("n"), F.sum(row_bytes(df)).alias("bytes"))
+    size, most = per_key.agg(F.sum("bytes"), F.max("n")).first()
+    return size or 0, most or 0
 
 
 def replicate(df: DataFrame, max_bytes: int = REPLICATE_BYTES) -> DataFrame:

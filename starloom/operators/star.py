@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.temporal import calendar_parts, epoch_ms_to_seconds
-from starloom.operators.broadcasting import REPLICATE_BYTES, payload_bytes
+from starloom.operators.broadcasting import REPLICATE_BYTES, key_profile
 from starloom.operators.latest import latest_by
 
 # The page of a play, and the fact columns next to the key.
@@ -23,23 +23,29 @@ FACT_COLUMNS = [
 ]
 
 
+# Catalogue rows of one name up to which a play may meet them with its copies.
+FAN_OUT = 32
+
+
 def songplay(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool = False) -> DataFrame:
     """Distinct plays with a match in the catalogue, without a key.
 
     Artist name and title match exactly. A name that stands for several
     catalogue songs gives one play per song; a play without a match is left out.
 
-    Both sides lose their copies before they meet: the result is distinct
-    anyway, copies of a hot event collapse map-side instead of being shuffled,
-    and copies on both sides do not multiply. A catalogue counted as small
-    enough is broadcast; a larger one is shuffled, and adaptive execution splits
-    the partitions of hot songs.
+    The catalogue's names are counted first. If they are small, they are
+    broadcast, and only matched plays are shuffled, once, for the distinct;
+    larger ones are shuffled, and adaptive execution splits the partitions of hot
+    songs. If some name stands for very many rows, plays lose their copies
+    before the join as well, at the price of one more shuffle: copies would be
+    multiplied by all those rows only to collapse afterwards.
     """
 
-    def name(column: str):
+    def name(column: str) -> Column:
         text = F.col(column)
         return F.rtrim(text) if ignore_trailing_blanks else text
 
+    named = "_artist is not null and _title is not null"
     plays = (
         events.where(F.col("page") == PLAY_PAGE)
         .select(
@@ -52,15 +58,17 @@ def songplay(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool =
             name("artist").alias("_artist"),
             name("song").alias("_title"),
         )
-        .where("_artist is not null and _title is not null")
-        .distinct()
+        .where(named)
     )
     names = songs.select(
         name("artist_name").alias("_artist"), name("title").alias("_title"), "song_id", "artist_id"
-    ).where("_artist is not null and _title is not null")
-    # Counted before the distinct: an upper bound that costs no shuffle.
-    small = payload_bytes(names) <= REPLICATE_BYTES
-    catalogue = F.broadcast(names.distinct()) if small else names.distinct()
+    ).where(named)
+    size, fan_out = key_profile(names, ["_artist", "_title"])
+    if fan_out > FAN_OUT:
+        plays = plays.distinct()
+    catalogue = names.distinct()
+    if size <= REPLICATE_BYTES:
+        catalogue = F.broadcast(catalogue)
     return plays.join(catalogue, ["_artist", "_title"]).select(FACT_COLUMNS).distinct()
 
 

@@ -255,10 +255,11 @@ def _write_catalogue(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _write_gzip(df: DataFrame, label: str, sep: str) -> str:
-    """Written in files of even size: each is read back by one task."""
-    path = scratch_path(df.sparkSession, label)
-    df.hint("rebalance").write.csv(path, sep=sep, compression="gzip")
+def _write_gzip(df: DataFrame, path: str, sep: str) -> str:
+    """Delimited text in gzip files of even size: each is read by one task."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    lines = df.hint("rebalance").select(F.concat_ws(sep, *fields).alias("value"))
+    lines.write.text(path, compression="gzip")
     return f"{path}/part*"
 
 
@@ -285,7 +286,7 @@ def _plain_numbers(tickets: DataFrame) -> DataFrame:
 
 @query
 def delimited_scan(spark, sf_dir):
-    path = _write_gzip(standins.tickets(spark, sf_dir), "tickets", ";")
+    path = _write_gzip(standins.tickets(spark, sf_dir), scratch_path(spark, "tickets"), ";")
     return _plain_numbers(read_delimited(spark, path, schemas.TICKETS, sep=";"))
 
 
@@ -293,7 +294,7 @@ def delimited_scan(spark, sf_dir):
 def delimited_scan_spread(spark, sf_dir):
     """The same load with the rows spread over all cores right after the scan,
     for inputs that come in a few large files."""
-    path = _write_gzip(standins.tickets(spark, sf_dir), "tickets", ";")
+    path = _write_gzip(standins.tickets(spark, sf_dir), scratch_path(spark, "tickets"), ";")
     cores = spark.sparkContext.defaultParallelism
     return _plain_numbers(
         read_delimited(spark, path, schemas.TICKETS, sep=";", repartition=cores)
@@ -302,7 +303,7 @@ def delimited_scan_spread(spark, sf_dir):
 
 @query
 def delimited_scan_pipe(spark, sf_dir):
-    path = _write_gzip(standins.lineorder(spark, sf_dir), "lineorder", "|")
+    path = _write_gzip(standins.lineorder(spark, sf_dir), scratch_path(spark, "lineorder"), "|")
     return read_delimited(spark, path, schemas.widen_ids(schemas.SSB["lineorder"]))
 
 
@@ -421,7 +422,7 @@ def layout_load(spark, sf_dir):
     """Load the five tables from gzip files into both layouts; rows in each."""
     root = scratch_path(spark, "ssb")
     for name, df in standins.ssb(spark, sf_dir).items():
-        df.hint("rebalance").write.csv(f"{root}/{name}", sep="|", compression="gzip")
+        _write_gzip(df, f"{root}/{name}", "|")
     databases = {name: f"starloom_{name}_{uuid.uuid4().hex[:12]}" for name in layout.LAYOUTS}
     locations = {name: scratch_path(spark, db) for name, db in databases.items()}
     plans.load_both(spark, root, databases, locations)

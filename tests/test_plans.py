@@ -42,10 +42,19 @@ def test_filters_and_columns_reach_the_scan(staged):
     assert "IsNotNull(userId)" in plan_of(ops.users(staged["events"]))
 
 
-def test_plays_lose_their_copies_before_the_join(staged):
+def test_small_catalogue_costs_one_shuffle_of_matched_plays(staged):
+    plan = plan_of(ops.songplay(staged["events"], staged["songs"]))
+    fact_side = plan[: plan.index("BroadcastExchange")]
+    assert fact_side.count("Exchange hashpartitioning") == 1
+    assert fact_side.index("Exchange hashpartitioning") < fact_side.index("BroadcastHashJoin")
+
+
+def test_plays_lose_their_copies_before_a_multiplying_join(staged, monkeypatch):
+    monkeypatch.setattr("starloom.operators.star.FAN_OUT", 1)
     plan = plan_of(ops.songplay(staged["events"], staged["songs"]))
     join = plan.index("HashJoin")
     assert plan.index("HashAggregate", join) < plan.index("Scan parquet", join)
+    assert plan[: plan.index("BroadcastExchange")].count("Exchange hashpartitioning") == 2
 
 
 def test_songplay_stays_in_the_jvm(staged):

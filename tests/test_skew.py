@@ -1,14 +1,17 @@
 """Hot keys and copies: a third of all rows on one song, user and second."""
 
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
 from starloom import operators as ops
+from starloom.operators.broadcasting import key_profile, payload_bytes
 
 N = 6000
+EPOCH = datetime(1970, 1, 1)
 
 
 @pytest.fixture(scope="module")
@@ -50,35 +53,46 @@ def brute_force(events, songs):
     }
 
 
-@pytest.mark.parametrize("threshold", [str(10 << 20), "-1"])
-def test_hot_song_on_both_sides(spark, hot, monkeypatch, threshold):
+@pytest.mark.parametrize("fan_out", [0, 1000])
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_hot_song_on_both_sides(spark, hot, monkeypatch, shuffled, fan_out):
     events, songs = hot
-    if threshold == "-1":  # the catalogue counts as too large: shuffled join
+    monkeypatch.setattr("starloom.operators.star.FAN_OUT", fan_out)
+    settings = {}
+    if shuffled:  # as if the catalogue counted as too large
         monkeypatch.setattr("starloom.operators.star.REPLICATE_BYTES", 0)
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": threshold,
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": threshold,
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
-    }
+        settings = {
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+        }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         fact = ops.songplay(events, songs)
-        got = {
-            (int(r.start_time.timestamp()), r.user_id, r.session_id, r.song_id, r.artist_id)
-            for r in fact.withColumn("start_time", F.col("start_time").cast("timestamp")).collect()
-        }
-        rows = fact.count()
+        collected = fact.collect()
         final = plan_of(fact)
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    got = {
+        (int((r.start_time - EPOCH).total_seconds()), r.user_id, r.session_id, r.song_id, r.artist_id)
+        for r in collected
+    }
     assert got == brute_force(events, songs)
-    assert rows == len(got)
-    assert ("SortMergeJoin" in final) == (threshold == "-1")
+    assert len(collected) == len(got)
+    assert ("SortMergeJoin" in final) == shuffled
+    # With its copies, the hot song is what makes a partition too large.
+    assert ("SortMergeJoin(skew=true)" in final) == (shuffled and fan_out == 1000)
+
+
+def test_fan_out_is_counted(hot):
+    _, songs = hot
+    size, fan_out = key_profile(songs, ["artist_name", "title"])
+    assert fan_out == 30
+    assert size == payload_bytes(songs)
 
 
 def test_hot_user(hot):

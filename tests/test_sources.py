@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
+from pyspark.sql import types as T
 
 from starloom import schemas
 from starloom.sources import (
@@ -179,6 +180,21 @@ def test_empty_field_is_null_number_and_empty_text(spark, tmp_path):
     assert rows(df) == [(None, None, None), ("", 1, None), ('"a', 2, 3.5), ("b\\", 3, 1000.0)]
 
 
+def test_required_numbers_are_parsed_by_the_reader(spark, tmp_path):
+    """Same values as by cast; blank stays NULL for the insert to refuse."""
+    path = write_gzip(tmp_path / "x.gz", "7;1e3;1.255;a", "-8;.5;2;", ";;;")
+    fields = [("i", schemas.BIGINT), ("d", schemas.DOUBLE), ("m", T.DecimalType(8, 2))]
+    required = schemas.table(*[(*f, schemas.REQUIRED) for f in fields], ("t", schemas.TEXT))
+    nullable = schemas.table(*fields, ("t", schemas.TEXT))
+    got = read_delimited(spark, path, required, sep=";")
+    assert rows(got) == rows(read_delimited(spark, path, nullable, sep=";"))
+    assert rows(got)[-1] == (7, 1000.0, Decimal("1.26"), "a")
+    for bad in (r"\N;1;1;a", "x;1;1;a", "1;1;1234567;a"):
+        path = write_gzip(tmp_path / "bad.gz", bad)
+        with pytest.raises(LOAD_ERRORS):
+            read_delimited(spark, path, required, sep=";").collect()
+
+
 @pytest.mark.parametrize("line", ["a|1", "a|1|2|3", "a|x|2", "a|1|2|"])
 def test_bad_line_fails_the_load(spark, tmp_path, line):
     path = write_gzip(tmp_path / "x.gz", "ok|1|2", line)
