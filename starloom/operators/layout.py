@@ -6,6 +6,7 @@ from __future__ import annotations
 import logging
 import math
 import time
+from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -23,9 +24,10 @@ log = logging.getLogger(__name__)
 SKEW_FACTOR = 2.5
 SKEW_ROWS = 1_000_000
 
-# Rows a bucket is meant to hold, and the most buckets Spark allows by default.
+# Rows a bucket is meant to hold. Numbers of buckets are powers of two up to
+# MAX_BUCKETS, so that sizes counted for the most fold into sizes for fewer.
 BUCKET_ROWS = 1_000_000
-MAX_BUCKETS = 100_000
+MAX_BUCKETS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -57,14 +59,33 @@ LAYOUTS: dict[str, dict[str, Layout]] = {
 }
 
 
-def bucket_skew(df: DataFrame, n: int, col: str) -> tuple[int, float]:
-    """Rows of the largest of ``n`` buckets on ``col``, and the mean. Reads one
-    column; one row per bucket leaves the map side."""
-    sizes = df.groupBy(F.pmod(F.hash(F.col(col)), F.lit(n)).alias("bucket")).agg(
-        F.count("*").alias("rows")
-    )
-    largest, total = sizes.agg(F.max("rows"), F.sum("rows")).first()
-    return largest or 0, (total or 0) / n
+def bucket_sizes(df: DataFrame, n: int, col: str) -> dict[int, int]:
+    """Rows per bucket for ``n`` buckets on ``col``. Reads one column; at most
+    one row per bucket leaves a map task or reaches the driver."""
+    bucket = F.pmod(F.hash(F.col(col)), F.lit(n)).alias("bucket")
+    return {r.bucket: r.n for r in df.groupBy(bucket).agg(F.count("*").alias("n")).collect()}
+
+
+def fold_buckets(sizes: Mapping[int, int], n: int) -> dict[int, int]:
+    """Sizes for ``n`` buckets from those for a multiple of ``n``."""
+    folded: Counter[int] = Counter()
+    for bucket, rows in sizes.items():
+        folded[bucket % n] += rows
+    return dict(folded)
+
+
+def bucket_count(rows: int, cores: int) -> int:
+    """Buckets for a table of so many rows, no fewer than cores."""
+    wanted = max(cores, math.ceil(rows / BUCKET_ROWS))
+    return min(MAX_BUCKETS, 1 << (wanted - 1).bit_length())
+
+
+def is_skewed(
+    sizes: Mapping[int, int], n: int, factor: float = SKEW_FACTOR, rows: int = SKEW_ROWS
+) -> bool:
+    """Whether one of ``n`` buckets is both large and far above the mean."""
+    largest = max(sizes.values(), default=0)
+    return largest >= rows and largest > factor * sum(sizes.values()) / n
 
 
 def write_layout(
@@ -73,6 +94,7 @@ def write_layout(
     bucket: tuple[int, str] | None = None,
     sort: str | None = None,
     mode: str = "overwrite",
+    sizes: Mapping[int, int] | None = None,
     skew_factor: float = SKEW_FACTOR,
     skew_rows: int = SKEW_ROWS,
 ) -> bool:
@@ -81,8 +103,8 @@ def write_layout(
     Bucketed: rows are spread on the bucket column beforehand, so each task
     writes one file of one bucket, sorted inside. A bucketed join reads a bucket
     in one task, which a hot key would stall. So the bucket sizes are counted
-    first, and a skewed table is written without buckets: its joins shuffle, and
-    adaptive execution splits the hot partitions.
+    first, unless ``sizes`` holds them, and a skewed table is written without
+    buckets: its joins shuffle, and adaptive execution splits the hot partitions.
 
     Sorted: ranges of the sort column, sorted inside, so that row-group
     statistics let scans skip blocks. A value with too many rows for one range
@@ -90,9 +112,9 @@ def write_layout(
     """
     if bucket:
         n, col = bucket
-        largest, mean = bucket_skew(df, n, col)
-        if largest >= skew_rows and largest > skew_factor * mean:
-            log.warning("%s: largest bucket %d rows, mean %.0f; not bucketed", table, largest, mean)
+        sizes = bucket_sizes(df, n, col) if sizes is None else sizes
+        if is_skewed(sizes, n, skew_factor, skew_rows):
+            log.warning("%s: %s has a hot key, written without buckets", table, col)
             bucket = None
     if bucket:
         n, col = bucket
@@ -112,33 +134,37 @@ def write_layout(
     return bucket is not None
 
 
-def bucket_count(df: DataFrame) -> int:
-    """Buckets for a table of the size of ``df``: a million rows each, at least
-    one per core, so that tables which join each other use the larger's count."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return min(MAX_BUCKETS, max(cores, math.ceil(df.count() / BUCKET_ROWS)))
-
-
 def load_layout(
     spark: SparkSession,
     db: str,
     frames: Mapping[str, DataFrame],
     layout: Mapping[str, Layout],
     buckets: int | None = None,
+    skew_rows: int = SKEW_ROWS,
 ) -> DataFrame:
     """Write every table of ``frames`` into ``db`` by ``layout``.
 
     Bucketed tables share one number of buckets, by default after the largest of
-    them. Returns (table_name, seconds).
+    them: one pass over its key column gives both the number and the sizes. If one
+    of them is skewed, none is bucketed: a join with only one bucketed side would
+    bring the hot key back into one task, where adaptive execution cannot split it.
+    Returns (table_name, seconds).
     """
-    bucketed = [df for name, df in frames.items() if layout[name].bucket]
-    n = buckets or max(map(bucket_count, bucketed), default=0)
+    keys = {name: layout[name].bucket for name in frames if layout[name].bucket}
+    sizes = {name: bucket_sizes(frames[name], buckets or MAX_BUCKETS, k) for name, k in keys.items()}
+    if keys and not buckets:
+        cores = spark.sparkContext.defaultParallelism
+        buckets = max(bucket_count(sum(counted.values()), cores) for counted in sizes.values())
+        sizes = {name: fold_buckets(counted, buckets) for name, counted in sizes.items()}
+    hot = [name for name, counted in sizes.items() if is_skewed(counted, buckets, rows=skew_rows)]
+    if hot:
+        log.warning("%s: hot keys in %s, tables written without buckets", db, hot)
+        keys = {}
     timings = []
     for name, df in frames.items():
-        spec = layout[name]
         started = time.monotonic()
-        bucket = (n, spec.bucket) if spec.bucket else None
-        write_layout(df, f"{db}.{name}", bucket, spec.sort)
+        bucket = (buckets, keys[name]) if name in keys else None
+        write_layout(df, f"{db}.{name}", bucket, layout[name].sort, sizes=sizes.get(name))
         timings.append((name, time.monotonic() - started))
     return spark.createDataFrame(timings, "table_name string, seconds double")
 

@@ -121,8 +121,8 @@ def test_hot_sort_value_is_split(spark, database):
 
 def test_hot_bucket_is_not_bucketed(spark, database):
     hot = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as v")
-    largest, mean = layout.bucket_skew(hot, 8, "k")
-    assert largest >= 1000 and mean == 375
+    sizes = layout.bucket_sizes(hot, 8, "k")
+    assert max(sizes.values()) >= 1000 and sum(sizes.values()) == 3000
     assert not layout.write_layout(hot, f"{database}.a", (8, "k"), "v", skew_factor=2, skew_rows=100)
     assert layout.write_layout(hot, f"{database}.b", (8, "k"), "v")
     for table, bucketed in (("a", False), ("b", True)):
@@ -131,13 +131,41 @@ def test_hot_bucket_is_not_bucketed(spark, database):
         assert layout.difference(spark.table(f"{database}.{table}"), hot).count() == 0
 
 
+def test_hot_key_in_one_table_unbuckets_its_partner_too(spark, database, frames):
+    hot = frames["lineorder"].withColumn(
+        "lo_partkey", F.expr("if(lo_orderkey % 3 = 0, 5, lo_partkey)")
+    )
+    pair = {"part": frames["part"], "lineorder": hot}
+    layout.load_layout(spark, database, pair, layout.LAYOUTS["dist"], skew_rows=100)
+    t = layout.read_layout(spark, database, {n: layout.LAYOUTS["dist"][n] for n in pair})
+    join = t["lineorder"].join(t["part"], F.col("lo_partkey") == F.col("p_partkey"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = plan_of(join)
+        got = rows(plans.same_dist(t["lineorder"], t["part"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+    assert "Bucketed: true" not in plan and plan.count("Exchange hashpartitioning") == 2
+    assert got == rows(plans.same_dist(hot, frames["part"]))
+
+
 def test_bucket_of_the_skew_check_is_spark_s_bucket(spark, database):
     df = spark.range(1000)
     layout.write_layout(df, f"{database}.t", (4, "id"))
-    largest, mean = layout.bucket_skew(df, 4, "id")
+    sizes = layout.bucket_sizes(df, 4, "id")
     table = spark.table(f"{database}.t")
-    sizes = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
-    assert (max(sizes), sum(sizes) / 4) == (largest, mean)
+    files = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
+    assert sorted(files) == sorted(sizes.values())
+    counted = layout.bucket_sizes(df, layout.MAX_BUCKETS, "id")
+    assert layout.fold_buckets(counted, 4) == sizes
+
+
+@pytest.mark.parametrize(
+    "rows, cores, buckets",
+    [(0, 8, 8), (5, 6, 8), (9_000_000, 8, 16), (600 * 10**9, 8000, 1 << 16)],
+)
+def test_number_of_buckets(rows, cores, buckets):
+    assert layout.bucket_count(rows, cores) == buckets
 
 
 def test_replicated_only_within_the_size_limit(spark):
