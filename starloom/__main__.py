@@ -5,8 +5,8 @@
     python -m starloom run     (create, then etl)
     python -m starloom compare --files DIR
 
-Meant for spark-submit, which brings the session's settings. Tables outlive the
-process only with a catalog that does.
+The session's settings come from spark-defaults.conf. Tables outlive the process
+only with a catalog that does.
 """
 
 from __future__ import annotations
