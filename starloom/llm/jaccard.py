@@ -513,15 +513,18 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (NULL last), then
     text digest. Of rows equal in both any one stays."""
-    (digest,) = fresh(docs, "digest")
+    digest, best_id, best_digest = fresh(docs, "digest", "best_id", "best_digest")
     found = near_duplicates(docs, id_col, text_col, **how)
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
-    best = found.groupBy("group").agg(F.min(order).alias("best")).select("best.*")
+    best = found.groupBy("group").agg(F.min(order).alias("best"))
+    best = best.select(
+        F.col("best.doc_id").alias(best_id), F.col("best.text_md5").alias(best_digest)
+    )
     keyed = docs.withColumn(digest, F.unhex(F.md5(text_or_empty(text_col))))
     return (
         keyed.join(
             best,
-            F.col(f"`{id_col}`").eqNullSafe(best["doc_id"]) & (F.col(digest) == best["text_md5"]),
+            F.col(f"`{id_col}`").eqNullSafe(F.col(best_id)) & (F.col(digest) == F.col(best_digest)),
             "left_semi",
         )
         .dropDuplicates([id_col, digest])

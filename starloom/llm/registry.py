@@ -83,7 +83,7 @@ def op8_tool_calls(spark, sf_dir):
 @query
 def op9_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    return attribution.attribute_fields(docs, "doc_id", ["source", "lang"], "text")
+    return attribution.attribute_fields(docs, "doc_id", ["source", "lang"], "text", separator=" ")
 
 
 @query
