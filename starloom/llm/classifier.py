@@ -225,7 +225,9 @@ def fit(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
             [pa.array([model.astype("<f8").tobytes()], pa.binary())], ["model"]
         )
 
-    return bytes(rows.repartition(1).mapInArrow(one_task, MODEL_SCHEMA).first()["model"])
+    found = rows.repartition(1).mapInArrow(one_task, MODEL_SCHEMA).first()
+    # Without a labelled row there may be no task at all.
+    return bytes(found["model"] if found else np.zeros((1 << bits) + 1).tobytes())
 
 
 def score(docs: DataFrame, model: bytes, text: Column, bits: int = BITS) -> Column:

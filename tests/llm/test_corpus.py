@@ -1,0 +1,336 @@
+"""Near duplicates, sharding, line dedup, tool calls, decontamination, pipeline."""
+
+import collections
+import json
+import random
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from starloom.llm import fm_index, jaccard, line_dedup, registry, sharding, tools
+from starloom.llm.common import table
+
+from .conftest import SMALL
+
+
+def sets_of(docs):
+    out = []
+    for d in docs:
+        words = (d["text"] or "").encode().split()
+        n = min(5, len(words))
+        out.append(frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1)) if n else frozenset())
+    return out
+
+
+def brute_groups(docs):
+    """(smallest id of the group, number of links) per row."""
+    sets = sets_of(docs)
+    parent, links = list(range(len(docs))), [0] * len(docs)
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            same = a == b
+            if same or (a and b and len(a & b) >= 0.8 * len(a | b)):
+                links[i] += 1
+                links[j] += 1
+                parent[find(i)] = find(j)
+    ids = collections.defaultdict(list)
+    for i, d in enumerate(docs):
+        ids[find(i)].append(d["doc_id"])
+    low = {k: min((x for x in v if x is not None), default=None) for k, v in ids.items()}
+    return [(low[find(i)], links[i]) for i in range(len(docs))]
+
+
+def near_copies(spark):
+    rng = random.Random(8)
+    words = ["".join(rng.choice("aeinorst") for _ in range(4)) for _ in range(500)]
+    rows, base = [], [rng.choice(words) for _ in range(150)]
+    for i in range(120):
+        text = list(base)
+        for _ in range(rng.randint(0, 3)):
+            text[rng.randrange(len(text))] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    for i in range(120, 260):
+        own = [rng.choice(words) for _ in range(rng.randint(0, 120))]
+        rows.append((i, " ".join(own + base[:40] * (i % 2))))
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+@pytest.mark.parametrize("leaf, block", [(jaccard.LEAF, jaccard.BLOCK), (4, 16)])
+def test_join_against_brute_force(spark, leaf, block):
+    docs = near_copies(spark)
+    rows = docs.orderBy("doc_id").collect()
+    found = jaccard.near_duplicates(docs, leaf=leaf, block=block).orderBy("doc_id").collect()
+    assert [(r["class_id"], r["n_links"]) for r in found] == brute_groups(rows)
+
+
+def test_join_on_given_and_awkward_rows(small, awkward, nothing):
+    for docs in (small, awkward):
+        rows = docs.collect()
+        expected = sorted(((d["doc_id"], *g) for d, g in zip(rows, brute_groups(rows))), key=str)
+        found = jaccard.near_duplicates(docs).collect()
+        assert sorted(((r["doc_id"], r["class_id"], r["n_links"]) for r in found), key=str) == expected
+        kept = jaccard.one_of_each(docs)
+        assert kept.columns == docs.columns
+        assert kept.count() == len({r["group"] for r in found})
+    assert jaccard.near_duplicates(nothing).count() == 0
+    assert jaccard.one_of_each(nothing).count() == 0
+
+
+def test_runs_reach_the_recall():
+    p = jaccard.meeting(0.8, jaccard.DEPTH)
+    runs = jaccard.runs_for(0.9999, 0.8)
+    assert (1 - p) ** runs <= 1e-4 < (1 - p) ** (runs - 1)
+
+
+def test_components_of_a_chain(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(90, 91)], "rep long, root long")
+    labels = {r["rep"]: r["label"] for r in jaccard.components(edges).collect()}
+    assert labels == {**{i: 0 for i in range(41)}, 90: 90, 91: 90}
+
+
+# --- sharding --------------------------------------------------------------------
+
+
+def test_shards_hold_the_key_law(small, awkward, nothing):
+    for docs in (small, awkward):
+        rows = sharding.assign(docs).collect()
+        assert len(rows) == docs.count()
+        by_shard = collections.defaultdict(list)
+        for r in rows:
+            by_shard[r["shard"]].append(r["slot"])
+            assert r["grown_shard"] in (r["shard"], 8)
+        assert all(sorted(v) == list(range(len(v))) for v in by_shard.values())
+        expected = collections.Counter(
+            (d["doc_id"], len((d["text"] or "").encode()) + 1, zlib.crc32((d["text"] or "").encode()))
+            for d in docs.collect()
+        )
+        assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in rows) == expected
+    assert sharding.assign(nothing).count() == 0
+
+
+def test_weights_set_the_shares(spark):
+    keys = spark.range(20_000).select(sharding.shard_of(F.col("id").cast("string"), [1.0, 2.0, 5.0]).alias("s"))
+    counts = {r["s"]: r["count"] / 20_000 for r in keys.groupBy("s").count().collect()}
+    assert abs(counts[0] - 1 / 8) < 0.01 and abs(counts[2] - 5 / 8) < 0.015
+    with pytest.raises(ValueError):
+        sharding.shard_of(F.lit("a"), [1.0, 0.0])
+
+
+# --- line dedup ------------------------------------------------------------------
+
+
+def test_passage_leaves_all_but_its_first_text(spark):
+    rng = random.Random(6)
+
+    def line():
+        return " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(9))
+
+    passage = [line() for _ in range(30)]
+    rows = []
+    for i in range(6):
+        lines = [line() for _ in range(rng.randint(1, 9))] + passage + [line() for _ in range(3)]
+        rows.append((i, "\n".join(lines)))
+    out, total, removed = line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    texts = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert texts[0] == rows[0][1]
+    for i in range(1, 6):
+        gone = [x for x in passage if x not in texts[i]]
+        assert len(gone) >= 20
+        own = [x for x in rows[i][1].split("\n") if x not in passage]
+        assert len([x for x in own if x in texts[i]]) >= len(own) - 4
+
+
+def test_line_dedup_on_awkward_rows(awkward, nothing):
+    out, _, _ = line_dedup.dedup(awkward)
+    before = {d["doc_id"]: d["text"] for d in awkward.collect()}
+    rows = out.collect()
+    assert len(rows) == awkward.count()
+    assert set(awkward.columns) <= set(out.columns)
+    for r in rows:
+        assert r["text"] == before[r["doc_id"]]
+    assert line_dedup.dedup(nothing)[0].count() == 0
+
+
+def test_line_dedup_stays_native(small):
+    plan = line_dedup.dedup(small)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+# --- tool calls ------------------------------------------------------------------
+
+
+def test_calls_and_results(spark):
+    calls = [
+        ("c", 1, 0, "a", "search", '{"query":"x","limit":3}', []),
+        ("c", 1, 1, "b", "search", '{"limit":"3"}', ["a"]),
+        ("c", 3, 0, "d", "convert", '{"unit": "km", "value": 1.5}', ["a", "b"]),
+        ("c", 3, 1, "a", "note", "{}", []),
+        ("c", 5, 0, "e", "note", "{", ["f"]),
+        ("c", 5, 1, "f", "guess", "{}", ["e"]),
+        ("c", 7, 0, "g", "note", '{"tags":["é"]}', ["zz"]),
+        (None, 1, 0, "h", None, None, None),
+    ]
+    calls += calls[:1]
+    results = [
+        ("c", 2, 0, "a", "first"),
+        ("c", 2, 1, "a", "again"),
+        ("c", 0, 0, "b", "too early"),
+        ("c", 4, 0, "d", "two"),
+        ("c", 4, 1, "nobody", "x"),
+        (None, 4, 1, None, None),
+    ]
+    calls = spark.createDataFrame(
+        calls, "conv_id string, turn long, position int, call_id string, name string, arguments string, after array<string>"
+    )
+    results = spark.createDataFrame(
+        results, "conv_id string, turn long, position int, call_id string, content string"
+    )
+    rows = tools.link(calls, results, registry.TOOLS).collect()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r["call_id"]].append(r)
+    (a,) = [r for r in by["a"] if r["status"] == "linked"]
+    assert a["level"] == 0 and a["valid"] and a["result_turn"] == 2
+    assert a["canonical"] == '{"arguments":{"limit":3,"query":"x"},"id":"a","name":"search","result":"first"}'
+    assert sorted(r["status"] for r in by["a"]) == ["linked", "repeated_call", "repeated_result"]
+    (b,) = [r for r in by["b"] if r["level"] is not None]
+    assert b["level"] == 1 and b["status"] == "no_result" and not b["valid"]
+    assert b["errors"] == ["$.query: missing", "$.limit: not of type integer"]
+    assert sorted(r["status"] for r in by["b"]) == ["no_result", "orphan_result"]
+    assert by["d"][0]["level"] == 2
+    assert by["e"][0]["status"] == by["f"][0]["status"] == "circular"
+    assert by["e"][0]["canonical"] is None
+    assert by["g"][0]["errors"] == ["waits for unknown zz"]
+    assert by["nobody"][0]["status"] == "orphan_result"
+    assert len(rows) == 12
+    assert tools.link(calls.limit(0), results.limit(0), {}).count() == 0
+
+
+def test_tool_query_orders_every_conversation(spark):
+    rows = registry.QUERIES["op8_tool_calls"](spark, SMALL).collect()
+    calls, _ = registry.derived_calls(table(spark, SMALL, "conversations"))
+    after = {(c["conv_id"], c["call_id"], c["turn"], c["position"]): c["after"] for c in calls.collect()}
+    main = {(r["conv_id"], r["call_id"]): r for r in rows if r["status"] in ("linked", "no_result", "circular")}
+    for (conv, call), r in main.items():
+        known = [main[conv, x] for x in after[conv, call, r["turn"], r["position"]] if (conv, x) in main]
+        if r["level"] is None:
+            assert any(k["level"] is None for k in known)
+        else:
+            assert r["level"] == max((k["level"] + 1 for k in known), default=0)
+        if r["canonical"]:
+            value = json.loads(r["canonical"])
+            assert r["canonical"] == tools.canonical(value)
+
+
+# --- decontamination -------------------------------------------------------------
+
+
+def brute_hits(texts, items):
+    windows = {}
+    for item, text in items:
+        words = fm_index.words_of(text.encode())
+        k = min(13, len(words))
+        for i in range(len(words) - k + 1 if k else 0):
+            windows.setdefault(tuple(words[i : i + k]), set()).add(item)
+    sizes = {len(w) for w in windows}
+    out = []
+    for text in texts:
+        words = fm_index.words_of((text or "").encode())
+        hit, found = set(), set()
+        for k in sizes:
+            for i in range(len(words) - k + 1):
+                if owners := windows.get(tuple(words[i : i + k])):
+                    hit.update(range(i, i + k))
+                    found |= owners
+        out.append((len(words), len(hit), sorted(found)))
+    return out
+
+
+def test_suffix_array():
+    rng = np.random.default_rng(1)
+    for alphabet in (1, 2, 5, 4000):
+        text = np.append(rng.integers(1, alphabet + 1, 300), 0)
+        text[50:120] = text[150:220]
+        order = fm_index.suffix_array(text, alphabet).tolist()
+        assert order == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+
+
+@pytest.mark.parametrize("shard_words", [40, 400_000])
+def test_index_against_brute_force(shard_words):
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(12)]
+    items = [(str(i), " ".join(rng.choice(words) for _ in range(rng.choice([0, 2, 5, 13, 20])))) for i in range(30)]
+    texts = []
+    for _ in range(60):
+        text = [rng.choice(words + ["other", "é"]) for _ in range(rng.randint(0, 70))]
+        if rng.random() < 0.5:
+            text[rng.randint(0, len(text)) : 0] = rng.choice(items)[1].split()
+        texts.append(" ".join(text).upper() + ".")
+    phrases = fm_index.Phrases.of(items)
+    rows = fm_index.document_hits([t.encode() for t in texts], phrases, shard_words)
+    got = [(n, hit, found) for n, hit, found, _, _ in rows]
+    assert got == brute_hits(texts, items)
+    for n, hit, _, starts, ends in rows:
+        assert sum(e - s for s, e in zip(starts, ends)) == hit
+        assert all(e < s for e, s in zip(ends, starts[1:]))
+
+
+def test_blocks_of_items_agree(spark, awkward, nothing):
+    items = spark.createDataFrame(
+        [(1, "same text twice and a second line"), (2, "hello"), (3, None), (4, ""), (5, "text twice"), (None, "x")],
+        "item_id long, text string",
+    )
+    whole, name = fm_index.find(awkward, items)
+    parts, other = fm_index.find(awkward, items, block_bytes=40)
+    assert set(awkward.columns) < set(whole.columns)
+
+    def rows(df, column):
+        return sorted((tuple(r) for r in df.select("doc_id", "text", f"{column}.*").collect()), key=str)
+
+    assert rows(whole, name) == rows(parts, other)
+    found = {r[0]: r for r in whole.select("doc_id", f"`{name}`.n_hit", f"`{name}`.items").collect()}
+    assert found[4][1] == 7 and found[4][2] == ["1", "5"]
+    assert fm_index.find(nothing, items)[0].count() == 0
+    assert fm_index.find(awkward, items.limit(0))[0].count() == awkward.count()
+
+
+# --- pipeline --------------------------------------------------------------------
+
+
+def test_pipeline(spark, small):
+    docs = small
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = docs.collect()
+        docs = stage(spark, docs, SMALL)
+        assert docs.columns == small.columns
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        after = docs.collect()
+        if name == "near_duplicates":
+            groups = [g for g, _ in brute_groups(before)]
+            assert sorted(d["doc_id"] for d in after) == sorted(set(groups))
+        if name == "decontamination":
+            items = [(str(r["item_id"]), r["text"]) for r in table(spark, SMALL, "benchmark").collect()]
+            hits = brute_hits([d["text"] for d in before], items)
+            clean = [d["doc_id"] for d, (n, h, _) in zip(before, hits) if not (h and 20 * h >= n)]
+            assert sorted(d["doc_id"] for d in after) == sorted(clean)
+    last = corpus_pipeline.run(spark, SMALL)
+    assert sorted(r["doc_id"] for r in last.select("doc_id").collect()) == sorted(d["doc_id"] for d in after)
+    assert {"doc_id", "ids", "n_tokens", "decoded_sha256"} <= set(last.columns)
+
+
+def test_pipeline_stages_on_awkward_rows(spark, awkward, nothing):
+    extra = [F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars")]
+    for docs in (awkward.select("*", *extra), nothing.select("*", *extra)):
+        n = docs.count()
+        for _, stage in corpus_pipeline.STAGES:
+            assert stage(spark, docs, SMALL).count() <= n
