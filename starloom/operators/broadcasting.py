@@ -12,11 +12,16 @@ REPLICATE_BYTES = 64 * 1024 * 1024
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Size of the values of a row: 8 bytes each, and the bytes of texts."""
+    """Size of the values of a row: 8 bytes each, and the bytes of texts and binaries;
+    of arrays, maps and structs the bytes of their JSON text."""
     size = F.lit(8 * len(df.columns)).cast("long")
     for field in df.schema:
-        if isinstance(field.dataType, T.StringType):
-            size = size + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            column = F.to_json(column)
+        elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            continue
+        size = size + F.coalesce(F.octet_length(column), F.lit(0))
     return size
 
 

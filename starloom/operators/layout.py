@@ -3,10 +3,8 @@ the comparison of two of them."""
 
 from __future__ import annotations
 
-import logging
 import math
 import time
-from collections import Counter
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -15,20 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
+from starloom.session import materialize
 
-log = logging.getLogger(__name__)
-
-# A bucket of this many times the mean, and no fewer rows than SKEW_ROWS, would
-# make one task the bottleneck of every co-located join. Keys spread by hash stay
-# well below; a key with a third of all rows is above from eight buckets on.
+# A bucket of this many times the mean makes one task the bottleneck of a co-located
+# join. Keys spread by hash stay well below; a key with a third of all rows is above
+# from eight buckets on.
 SKEW_FACTOR = 2.5
-SKEW_ROWS = 1_000_000
 
-# Rows a bucket is meant to hold. Numbers of buckets are powers of two up to
-# MAX_BUCKETS, so that sizes counted for the most fold into sizes for fewer.
+# Rows a bucket is meant to hold. Numbers of buckets are powers of two; Spark refuses
+# more than 100,000 buckets, so beyond MAX_BUCKETS of them buckets hold more rows.
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 1 << 16
 
+# Table properties a bucketed table carries.
+BUCKETS, HOT = "starloom.buckets", "starloom.hot"
+
 
 @dataclass(frozen=True)
 class Layout:
@@ -66,26 +65,34 @@ def bucket_sizes(df: DataFrame, n: int, col: str) -> dict[int, int]:
     return {r.bucket: r.n for r in df.groupBy(bucket).agg(F.count("*").alias("n")).collect()}
 
 
-def fold_buckets(sizes: Mapping[int, int], n: int) -> dict[int, int]:
-    """Sizes for ``n`` buckets from those for a multiple of ``n``."""
-    folded: Counter[int] = Counter()
-    for bucket, rows in sizes.items():
-        folded[bucket % n] += rows
-    return dict(folded)
-
-
-def bucket_count(rows: int, cores: int) -> int:
+def bucket_count(rows: int, cores: int, bucket_rows: int = BUCKET_ROWS) -> int:
     """Buckets for a table of so many rows, no fewer than cores."""
-    wanted = max(cores, math.ceil(rows / BUCKET_ROWS))
+    wanted = max(cores, math.ceil(rows / bucket_rows))
     return min(MAX_BUCKETS, 1 << (wanted - 1).bit_length())
 
 
-def is_skewed(
-    sizes: Mapping[int, int], n: int, factor: float = SKEW_FACTOR, rows: int = SKEW_ROWS
-) -> bool:
-    """Whether one of ``n`` buckets is both large and far above the mean."""
-    largest = max(sizes.values(), default=0)
-    return largest >= rows and largest > factor * sum(sizes.values()) / n
+def is_hot(sizes: Mapping[int, int], n: int, factor: float = SKEW_FACTOR) -> bool:
+    """Whether one of ``n`` buckets is far above the mean."""
+    return max(sizes.values(), default=0) > factor * sum(sizes.values()) / n
+
+
+def _spread(df: DataFrame, n: int, col: str, sizes: Mapping[int, int]) -> DataFrame:
+    """Rows of one bucket in one partition; those of a hot one hashed over all
+    partitions, copies of a row split by where they come from."""
+    mean = max(1, sum(sizes.values()) // n)
+    parts = [(b, 8 * -(-size // mean)) for b, size in sizes.items() if size > SKEW_FACTOR * mean]
+    if not parts:
+        return df.repartition(n, col)
+    # At most n / SKEW_FACTOR rows.
+    hot = df.sparkSession.createDataFrame(parts, "_bucket int, _parts int")
+    salt = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns], F.spark_partition_id())
+    return (
+        df.withColumns({"_bucket": F.pmod(F.hash(F.col(col)), F.lit(n)), "_salt": salt})
+        .join(F.broadcast(hot), "_bucket", "left")
+        .withColumn("_salt", F.pmod("_salt", F.coalesce("_parts", F.lit(1))))
+        .repartition(n, "_bucket", "_salt")
+        .drop("_bucket", "_salt", "_parts")
+    )
 
 
 def write_layout(
@@ -94,31 +101,25 @@ def write_layout(
     bucket: tuple[int, str] | None = None,
     sort: str | None = None,
     mode: str = "overwrite",
-    sizes: Mapping[int, int] | None = None,
-    skew_factor: float = SKEW_FACTOR,
-    skew_rows: int = SKEW_ROWS,
 ) -> bool:
-    """Write ``df`` as ``table``; True if it ended up bucketed.
+    """Write ``df`` as ``table``; True if a bucket is hot.
 
-    Bucketed: rows are spread on the bucket column beforehand, so each task
-    writes one file of one bucket, sorted inside. A bucketed join reads a bucket
-    in one task, which a hot key would stall. So the bucket sizes are counted
-    first, unless ``sizes`` holds them, and a skewed table is written without
-    buckets: its joins shuffle, and adaptive execution splits the hot partitions.
+    Bucketed: rows are spread on the bucket column beforehand, so a task writes one
+    file of one bucket, sorted inside. Bucket sizes are counted first, combined
+    map-side; a hot bucket is written by several tasks into several files. The table
+    is bucketed as declared whatever its size, and carries what was counted as table
+    properties, by which ``read_layout`` picks the plan.
 
     Sorted: ranges of the sort column, sorted inside, so that row-group
     statistics let scans skip blocks. A value with too many rows for one range
     is split by the rest of the row and, for copies, by where they come from.
     """
+    hot = False
     if bucket:
         n, col = bucket
-        sizes = bucket_sizes(df, n, col) if sizes is None else sizes
-        if is_skewed(sizes, n, skew_factor, skew_rows):
-            log.warning("%s: %s has a hot key, written without buckets", table, col)
-            bucket = None
-    if bucket:
-        n, col = bucket
-        writer = df.repartition(n, col).write.bucketBy(n, col)
+        sizes = bucket_sizes(df, n, col)
+        hot = is_hot(sizes, n)
+        writer = _spread(df, n, col, sizes).write.bucketBy(n, col)
         writer = writer.sortBy(sort) if sort else writer
     elif sort:
         writer = (
@@ -131,7 +132,12 @@ def write_layout(
     else:
         writer = df.write
     writer.mode(mode).format("parquet").saveAsTable(table)
-    return bucket is not None
+    if bucket:
+        df.sparkSession.sql(
+            f"ALTER TABLE {table} SET TBLPROPERTIES "
+            f"('{BUCKETS}' = '{bucket[0]}', '{HOT}' = '{str(hot).lower()}')"
+        )
+    return hot
 
 
 def load_layout(
@@ -140,33 +146,37 @@ def load_layout(
     frames: Mapping[str, DataFrame],
     layout: Mapping[str, Layout],
     buckets: int | None = None,
-    skew_rows: int = SKEW_ROWS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Write every table of ``frames`` into ``db`` by ``layout``.
 
     Bucketed tables share one number of buckets, by default after the largest of
-    them: one pass over its key column gives both the number and the sizes. If one
-    of them is skewed, none is bucketed: a join with only one bucketed side would
-    bring the hot key back into one task, where adaptive execution cannot split it.
-    Returns (table_name, seconds).
+    them. Returns (table_name, seconds, buckets, hot); buckets is NULL for tables
+    that are not bucketed.
     """
     keys = {name: layout[name].bucket for name in frames if layout[name].bucket}
-    sizes = {name: bucket_sizes(frames[name], buckets or MAX_BUCKETS, k) for name, k in keys.items()}
     if keys and not buckets:
         cores = spark.sparkContext.defaultParallelism
-        buckets = max(bucket_count(sum(counted.values()), cores) for counted in sizes.values())
-        sizes = {name: fold_buckets(counted, buckets) for name, counted in sizes.items()}
-    hot = [name for name, counted in sizes.items() if is_skewed(counted, buckets, rows=skew_rows)]
-    if hot:
-        log.warning("%s: hot keys in %s, tables written without buckets", db, hot)
-        keys = {}
-    timings = []
+        buckets = max(bucket_count(frames[name].count(), cores, bucket_rows) for name in keys)
+    outcome = []
     for name, df in frames.items():
         started = time.monotonic()
         bucket = (buckets, keys[name]) if name in keys else None
-        write_layout(df, f"{db}.{name}", bucket, layout[name].sort, sizes=sizes.get(name))
-        timings.append((name, time.monotonic() - started))
-    return spark.createDataFrame(timings, "table_name string, seconds double")
+        hot = write_layout(df, f"{db}.{name}", bucket, layout[name].sort)
+        outcome.append((name, time.monotonic() - started, buckets if bucket else None, hot))
+    return spark.createDataFrame(outcome, "table_name string, seconds double, buckets int, hot boolean")
+
+
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def _unbucketed(spark: SparkSession, table: str) -> DataFrame:
+    """The table's rows without its buckets, so that joins shuffle and adaptive
+    execution splits what is hot."""
+    described = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
+    (location,) = (r["data_type"] for r in described if r["col_name"] == "Location")
+    return spark.read.schema(spark.table(table).schema).parquet(location)
 
 
 def read_layout(
@@ -175,12 +185,26 @@ def read_layout(
     layout: Mapping[str, Layout],
     max_bytes: int = REPLICATE_BYTES,
 ) -> dict[str, DataFrame]:
-    """The tables of ``db``, replicated ones marked after a size check."""
-    tables = {name: spark.table(f"{db}.{name}") for name in layout}
-    return {
-        name: replicate(df, max_bytes) if layout[name].replicate else df
-        for name, df in tables.items()
-    }
+    """The tables of ``db``, replicated ones marked after a size check.
+
+    Bucketed tables are joined bucket by bucket: of those joined with each other, the
+    one whose key it is (its sort key) asks for a merge join. If one of them has a
+    hot bucket, all are read without buckets: a join with one bucketed side would
+    bring the hot key into one task, where it cannot be split.
+    """
+    bucketed = {name for name, spec in layout.items() if spec.bucket}
+    known = {name: properties(spark, f"{db}.{name}") for name in bucketed}
+    hot = any(p.get(HOT) == "true" for p in known.values())
+    tables = {}
+    for name, spec in layout.items():
+        if name in bucketed and hot:
+            df = _unbucketed(spark, f"{db}.{name}")
+        else:
+            df = spark.table(f"{db}.{name}")
+            if name in bucketed and spec.bucket == spec.sort:
+                df = df.hint("merge")
+        tables[name] = replicate(df, max_bytes) if spec.replicate else df
+    return tables
 
 
 def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -197,36 +221,37 @@ def difference(a: DataFrame, b: DataFrame) -> DataFrame:
     return _side_by_side(a, b).where("surplus <> 0").drop("copies")
 
 
-def agreement(
-    queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
-    a: Mapping[str, DataFrame],
-    b: Mapping[str, DataFrame],
-) -> DataFrame:
-    """(query, result_rows, differing_rows) per query, run on both layouts."""
-    parts = [
-        _side_by_side(query(a), query(b))
+def _agreement_of(name: str, a: DataFrame, b: DataFrame) -> DataFrame:
+    return (
+        _side_by_side(a, b)
         .agg(
             F.coalesce(F.sum("copies"), F.lit(0)).alias("result_rows"),
             F.count_if(F.col("surplus") != 0).alias("differing_rows"),
         )
         .select(F.lit(name).alias("query"), "result_rows", "differing_rows")
-        for name, query in queries.items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    )
 
 
-def query_times(
-    spark: SparkSession,
+def agreement(
     queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
-    tables: Mapping[str, DataFrame],
+    a: Mapping[str, DataFrame],
+    b: Mapping[str, DataFrame],
 ) -> DataFrame:
-    """(query, seconds): each query run to its end with the rows thrown away."""
-    timings = []
-    for name, query in queries.items():
-        started = time.monotonic()
-        query(tables).write.format("noop").mode("overwrite").save()
-        timings.append((name, time.monotonic() - started))
-    return spark.createDataFrame(timings, "query string, seconds double")
+    """(query, result_rows, differing_rows) per query, run on both layouts."""
+    parts = [_agreement_of(name, query(a), query(b)) for name, query in queries.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+Tables = Mapping[str, DataFrame] | Callable[[], Mapping[str, DataFrame]]
+
+
+def _seconds(query: Callable, tables: Tables) -> float:
+    """One run to its end with the rows thrown away. ``tables`` that still have to be
+    opened, with their size checks, are opened within the time."""
+    started = time.monotonic()
+    opened = tables() if callable(tables) else tables
+    query(opened).write.format("noop").mode("overwrite").save()
+    return time.monotonic() - started
 
 
 def improvement(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("nodist", "dist")) -> DataFrame:
@@ -246,11 +271,26 @@ def improvement(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("nodist",
 def compare_layouts(
     spark: SparkSession,
     queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
-    a: Mapping[str, DataFrame],
-    b: Mapping[str, DataFrame],
+    a: Tables,
+    b: Tables,
     names: tuple[str, str] = ("nodist", "dist"),
 ) -> DataFrame:
     """Run every query on both layouts: seconds, gain, and whether the results
-    agree (``differing_rows`` is 0)."""
-    gain = improvement(query_times(spark, queries, a), query_times(spark, queries, b), names)
-    return gain.join(agreement(queries, a, b), "query")
+    agree (``differing_rows`` is 0).
+
+    A first run of each query and layout is not timed: it pays for compilation and
+    cold files, and writes the results that are compared. The timed runs alternate.
+    """
+    times: tuple[list, list] = ([], [])
+    parts = []
+    for name, query in queries.items():
+        kept = [
+            materialize(query(t() if callable(t) else t), f"result-{name}") for t in (a, b)
+        ]
+        parts.append(_agreement_of(name, *kept))
+        for taken, tables in zip(times, (a, b)):
+            taken.append((name, _seconds(query, tables)))
+    first, second = (
+        spark.createDataFrame(taken, "query string, seconds double") for taken in times
+    )
+    return improvement(first, second, names).join(reduce(DataFrame.unionByName, parts), "query")

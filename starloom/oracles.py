@@ -306,6 +306,12 @@ _STAR_CHECKS = [
 ]
 
 
+_TICKETS_AS_TEXT = (
+    "SELECT * REPLACE (CAST(CAST(seat_level AS DECIMAL(1, 0)) AS VARCHAR) AS seat_level, "
+    "CAST(CAST(ticket_price AS DECIMAL(8, 2)) AS VARCHAR) AS ticket_price) FROM tickets"
+)
+
+
 def oracle_sql() -> dict[str, str]:
     star = "keyed users songs artists times"
     return {
@@ -326,6 +332,14 @@ def oracle_sql() -> dict[str, str]:
         "dup_catalogue_name": _over(
             "staging_songs", _repeated("staging_songs", "artist_name, title")
         ),
+        "dup_users_distinct": _over(
+            "staging_events",
+            """
+            SELECT "userId", count(*) AS occurrences
+            FROM (SELECT DISTINCT "userId", level FROM staging_events WHERE "userId" IS NOT NULL)
+            GROUP BY ALL HAVING count(*) > 1
+            """,
+        ),
         "dup_lineitem": _repeated("lineitem", "l_orderkey, l_linenumber"),
         "duplicate_report": _over(
             star,
@@ -386,12 +400,13 @@ def oracle_sql() -> dict[str, str]:
             ),
         ),
         "json_paths_scan": _rows_of("staging_events"),
+        "json_flat_scan": _rows_of("staging_events"),
         "json_auto_scan": _rows_of("staging_songs"),
-        "delimited_scan": _rows_of("tickets"),
-        "delimited_scan_spread": _rows_of("tickets"),
+        "delimited_scan": _over("tickets", _TICKETS_AS_TEXT),
+        "delimited_scan_spread": _over("tickets", _TICKETS_AS_TEXT),
         "delimited_scan_pipe": _rows_of("lineorder"),
         "append_twice": _over(
-            "tickets", "SELECT * FROM tickets UNION ALL SELECT * FROM tickets"
+            "tickets", f"{_TICKETS_AS_TEXT} UNION ALL {_TICKETS_AS_TEXT}"
         ),
         "star_roundtrip": _over("fact users songs artists times", _counts(_STAR)),
         "etl_report": _over(star, " UNION ALL ".join(_STAR_CHECKS)),
@@ -416,6 +431,16 @@ def oracle_sql() -> dict[str, str]:
                 for q in ("one_dim", "two_dim", "drill", "same_dist")
             ),
         ),
+        "layout_gain": _over(
+            "one_dim two_dim drill same_dist",
+            " UNION ALL ".join(
+                f"SELECT '{q}' AS query, count(*) AS result_rows, "
+                f"CAST(0 AS BIGINT) AS differing_rows, true AS timed, true AS gain_is_percent FROM {q}"
+                for q in ("one_dim", "two_dim", "drill", "same_dist")
+            ),
+        ),
+        "layout_hot_bucket": "SELECT l_returnflag, count(*) AS row_count, 'lineitem' AS table_name, "
+        "16 AS buckets, true AS hot FROM lineitem GROUP BY l_returnflag",
         "most_played": _over(
             "fact songs",
             """

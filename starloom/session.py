@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_NAMESPACES: list[str] = []
+
+
 def pin_utc(spark: SparkSession) -> SparkSession:
     """Zone-less timestamps pass through zoned ones only under UTC unchanged."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
@@ -18,25 +20,38 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a
-    cluster a machine-local folder would not be visible to the other executors.
+    Without that setting it lies in the warehouse directory, which the executors
+    share as well; never in a machine-local temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if context.getCheckpointDir():
-        return context.getCheckpointDir().rstrip("/")
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="starloom-"))
-    return context.getCheckpointDir().rstrip("/")
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The folder of everything this application writes for itself."""
+    return f"{scratch_root(spark)}/starloom/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder, never used before."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/starloom/{app}/{label}-{uuid.uuid4().hex[:12]}"
+    return f"{run_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_namespace(label: str) -> str:
+    """A new namespace's name, to be dropped by ``release``."""
+    name = f"starloom_{label}_{uuid.uuid4().hex[:12]}"
+    _NAMESPACES.append(name)
+    return name
+
+
+def release(spark: SparkSession) -> None:
+    """Drop this run's scratch namespaces and delete its folder. To be called after
+    the last read: results that are not written elsewhere are gone then."""
+    while _NAMESPACES:
+        spark.sql(f"DROP DATABASE IF EXISTS {_NAMESPACES.pop()} CASCADE")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -28,7 +28,8 @@ def read_delimited(
     characters. An empty field is a NULL number but empty text, and ``\\N`` is
     NULL. A line with too few or too many fields fails the load, and so does a
     value its column cannot hold unless ``strict`` is off; lines that end in the
-    separator are read with ``trailing_sep``.
+    separator are read with ``trailing_sep``. Fields are counted whatever columns a
+    query reads; values are checked where they are read, so on every write.
 
     A gzip file cannot be split: it is one task's work however large it is.
     Many files give many tasks; for a few large ones ``repartition`` spreads
@@ -37,7 +38,8 @@ def read_delimited(
     fields = [T.StructField(f.name, _reader_type(f, strict)) for f in schema]
     if trailing_sep:
         fields.append(T.StructField("_after_last_sep", T.StringType()))
-    rows = spark.read.schema(T.StructType(fields)).csv(
+    # Without pruning, since a line's fields are counted only where all are read.
+    rows = spark.read.schema(T.StructType(fields)).option("columnPruning", False).csv(
         path,
         sep=sep,
         quote="",

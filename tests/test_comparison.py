@@ -58,7 +58,7 @@ def test_load_both_then_compare(spark, files, tmp_path):
     databases = {n: f"{n}_{uuid.uuid4().hex[:8]}" for n in ("nodist", "dist")}
     locations = {n: str(tmp_path / db) for n, db in databases.items()}
     stats = plans.load_both(spark, str(files), databases, locations)
-    assert stats.columns == ["table_name", "loadtime_nodist", "loadtime_dist"]
+    assert stats.columns == ["table_name", "loadtime_nodist", "loadtime_dist", "buckets", "hot"]
     assert {r.table_name for r in stats.collect()} == set(schemas.SSB)
     result = {r["query"]: r for r in plans.compare(spark, databases).collect()}
     assert set(result) == set(comparison.QUERIES)

@@ -1,10 +1,11 @@
+import re
 import uuid
 
 import pytest
 from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
-from starloom import plans
+from starloom import plans, registry
 from starloom.operators import layout
 from starloom.operators.broadcasting import payload_bytes, replicate
 from starloom.sources import use
@@ -119,45 +120,66 @@ def test_hot_sort_value_is_split(spark, database):
     assert layout.difference(table, hot).count() == 0
 
 
-def test_hot_bucket_is_not_bucketed(spark, database):
-    hot = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as v")
-    sizes = layout.bucket_sizes(hot, 8, "k")
-    assert max(sizes.values()) >= 1000 and sum(sizes.values()) == 3000
-    assert not layout.write_layout(hot, f"{database}.a", (8, "k"), "v", skew_factor=2, skew_rows=100)
-    assert layout.write_layout(hot, f"{database}.b", (8, "k"), "v")
-    for table, bucketed in (("a", False), ("b", True)):
+def test_hot_bucket_stays_bucketed_and_is_written_by_several_tasks(spark, database):
+    hot = spark.range(0, 3000, 1, 8).selectExpr("if(id % 3 > 0, -1, id) as k", "id as v")
+    assert layout.write_layout(hot, f"{database}.a", (8, "k"), "v")
+    assert not layout.write_layout(hot.withColumn("k", F.col("v")), f"{database}.b", (8, "k"), "v")
+    for table, flag in (("a", "true"), ("b", "false")):
+        known = layout.properties(spark, f"{database}.{table}")
+        assert (known[layout.BUCKETS], known[layout.HOT]) == ("8", flag)
         described = spark.sql(f"DESCRIBE EXTENDED {database}.{table}").collect()
-        assert any(r.col_name == "Num Buckets" for r in described) == bucketed
-        assert layout.difference(spark.table(f"{database}.{table}"), hot).count() == 0
+        assert [r.data_type for r in described if r.col_name == "Num Buckets"] == ["8"]
+    table = spark.table(f"{database}.a")
+    assert layout.difference(table, hot).count() == 0
+    sizes = [r["count"] for r in table.where("k = -1").groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 2000 / 2
 
 
-def test_hot_key_in_one_table_unbuckets_its_partner_too(spark, database, frames):
+def test_hot_table_is_read_without_buckets(spark, database, frames):
     hot = frames["lineorder"].withColumn(
-        "lo_partkey", F.expr("if(lo_orderkey % 3 = 0, 5, lo_partkey)")
+        "lo_partkey", F.expr("if(lo_orderkey % 3 > 0, 5, lo_partkey)")
     )
     pair = {"part": frames["part"], "lineorder": hot}
-    layout.load_layout(spark, database, pair, layout.LAYOUTS["dist"], skew_rows=100)
+    outcome = layout.load_layout(spark, database, pair, layout.LAYOUTS["dist"]).collect()
+    assert {r.table_name: r.hot for r in outcome} == {"part": False, "lineorder": True}
+    assert len({r.buckets for r in outcome}) == 1
     t = layout.read_layout(spark, database, {n: layout.LAYOUTS["dist"][n] for n in pair})
-    join = t["lineorder"].join(t["part"], F.col("lo_partkey") == F.col("p_partkey"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        plan = plan_of(join)
-        got = rows(plans.same_dist(t["lineorder"], t["part"]))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+    join = t["lineorder"].join(t["part"].hint("merge"), F.col("lo_partkey") == F.col("p_partkey"))
+    plan = plan_of(join)
     assert "Bucketed: true" not in plan and plan.count("Exchange hashpartitioning") == 2
+    got = rows(plans.same_dist(t["lineorder"], t["part"]))
     assert got == rows(plans.same_dist(hot, frames["part"]))
 
 
-def test_bucket_of_the_skew_check_is_spark_s_bucket(spark, database):
+def test_registered_join_merges_buckets_without_a_shuffle(spark):
+    plan = plan_of(registry.QUERIES["layout_bucketed_join"](spark, "/root/testdata/sf0.001"))
+    below = plan[plan.index("SortMergeJoin") :]
+    assert "Bucketed: true" in below and "Exchange hashpartitioning" not in below
+    assert "BroadcastHashJoin" not in plan
+
+
+def test_sort_key_range_reaches_the_scan(spark, databases):
+    t = read(spark, databases, "dist")
+    days = t["dwdate"].where("d_datekey between 19970105 and 19970106")
+    for query in (
+        plans.one_dim(t["lineorder"], days),
+        plans.drill(t["lineorder"], t["customer"], t["supplier"], days, ["City0"], ["City1"], "Jan1997"),
+    ):
+        plan = plan_of(query)
+        # The plan's text cuts long lists of pushed filters short.
+        pushed = re.search(r"DataFilters: \[.*?lo_orderdate#\d+ >= 19970105.*?<= 19970106", plan)
+        assert pushed
+    empty = plans.one_dim(t["lineorder"], t["dwdate"], year=1900)
+    assert rows(empty) == [(None,)]
+
+
+def test_bucket_of_the_count_is_spark_s_bucket(spark, database):
     df = spark.range(1000)
     layout.write_layout(df, f"{database}.t", (4, "id"))
     sizes = layout.bucket_sizes(df, 4, "id")
     table = spark.table(f"{database}.t")
     files = [r["count"] for r in table.groupBy(F.input_file_name()).count().collect()]
     assert sorted(files) == sorted(sizes.values())
-    counted = layout.bucket_sizes(df, layout.MAX_BUCKETS, "id")
-    assert layout.fold_buckets(counted, 4) == sizes
 
 
 @pytest.mark.parametrize(

@@ -328,3 +328,19 @@ def test_load_tables_in_order_with_times(spark, database, tmp_path):
     assert all(t.seconds > 0 for t in times)
     stored = spark.table(f"{database}.sporting_event_ticket").first()
     assert stored.ticketholder_id is None and stored.ticket_price == Decimal("1.00")
+
+
+@pytest.mark.parametrize("line", ["b|1", "c|1|2|3"])
+@pytest.mark.parametrize("read", ["count", "one column"])
+def test_malformed_lines_fail_under_any_projection(spark, tmp_path, line, read):
+    (tmp_path / "a.txt").write_text(f"a|1|2\n{line}\n")
+    df = read_delimited(spark, str(tmp_path), T.StructType.fromDDL("name string, x int, y int"))
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        df.count() if read == "count" else df.select("name").collect()
+
+
+def test_song_object_over_several_lines(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{\n  "song_id": "S1",\n  "title": "T",\n  "year": 1999\n}\n')
+    schema = T.StructType.fromDDL("song_id string, title string, year int")
+    df = read_json_auto(spark, str(tmp_path), schema, multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [("S1", "T", 1999)]
