@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.operators import broadcasting
 from starloom.session import materialize
 
 __all__ = [
@@ -17,6 +18,7 @@ __all__ = [
     "importable",
     "materialize",
     "mix",
+    "replicate",
     "slices",
     "stretch_hashes",
     "table",
@@ -47,6 +49,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Most bytes of a side that is broadcast: in memory several times as much, which has to
+# fit beside the work of an executor with little memory.
+BROADCAST_BYTES = 24 << 20
+
+
+def replicate(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its counted size is within ``BROADCAST_BYTES``."""
+    return broadcasting.replicate(df, BROADCAST_BYTES)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names`` with underscores in front until none clashes with a column of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -12,7 +12,9 @@ decide use the chunk's text as key.
 
 Built from DataFrame functions only. Chunk hashes are counted first, map-side
 combined; only texts of chunks whose hash repeats are shuffled, and those of one hot
-chunk meet one row, which adaptive execution splits.
+chunk meet one row, which adaptive execution splits. The repeated hashes and the
+removals are broadcast if their counted size allows; beyond it they, and the texts
+that meet them, are shuffled.
 
 NULL texts stay NULL. A document whose chunks all go keeps its row with the empty
 text. Rows equal in id and text are one document: they keep and lose the same chunks.
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.common import fresh, materialize
+from starloom.llm.common import fresh, materialize, replicate
 
 # Of the rolling hash, a prime below 2**31 and its multiplier.
 PRIME = 2_147_483_647
@@ -100,7 +102,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         .select("hash"),
         "line-chunk-hashes",
     )
-    again = materialize(found.join(repeated, "hash", "left_semi"), "line-chunks")
+    again = materialize(found.join(replicate(repeated), "hash", "left_semi"), "line-chunks")
     here = F.struct(F.col("id").isNull().alias("no_id"), "id", "version", "place")
     first = again.groupBy("hash", "chunk").agg(F.min(here).alias("first"))
     return (
@@ -118,6 +120,8 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     gone_from = removals(docs, id_col, text_col).select(
         F.col("id").alias(f"{version}_id"), F.col("version").alias(f"{version}_of"), F.col("places").alias(places)
     )
+    # The removals are written first, so counting their size does not repeat the work.
+    gone_from = replicate(materialize(gone_from, "line-removals"))
     keyed = docs.withColumn(version, F.md5(F.col(f"`{text_col}`")))
     joined = keyed.join(
         gone_from,
