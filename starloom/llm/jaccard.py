@@ -32,8 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import fresh, materialize, mix, text_or_empty, texts_of, word_hashes
-from starloom.operators.broadcasting import replicate
+from starloom.llm.common import (
+    fresh,
+    materialize,
+    mix,
+    replicate,
+    text_or_empty,
+    texts_of,
+    word_hashes,
+)
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -513,20 +520,25 @@ def near_duplicates(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (NULL last), then
     text digest. Of rows equal in both any one stays."""
-    digest, best_id, best_digest = fresh(docs, "digest", "best_id", "best_digest")
-    found = near_duplicates(docs, id_col, text_col, **how)
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
-    best = found.groupBy("group").agg(F.min(order).alias("best"))
-    best = best.select(
-        F.col("best.doc_id").alias(best_id), F.col("best.text_md5").alias(best_digest)
+    digest, other_id, other_digest = fresh(docs, "digest", "other_id", "other_digest")
+    found = materialize(
+        near_duplicates(docs, id_col, text_col, **how).select("group", "doc_id", "text_md5"), "groups"
     )
-    keyed = docs.withColumn(digest, F.unhex(F.md5(text_or_empty(text_col))))
-    return (
-        keyed.join(
-            best,
-            F.col(f"`{id_col}`").eqNullSafe(F.col(best_id)) & (F.col(digest) == F.col(best_digest)),
-            "left_semi",
-        )
-        .dropDuplicates([id_col, digest])
-        .drop(digest)
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
+    best = found.groupBy("group").agg(F.min(row).alias("best"))
+    leaving = materialize(
+        found.join(best, "group")
+        .filter(~row.eqNullSafe(F.col("best")))
+        .select(F.col("doc_id").alias(other_id), F.col("text_md5").alias(other_digest))
+        .distinct(),
+        "leaving",
+    )
+    kept = docs.withColumn(digest, F.unhex(F.md5(text_or_empty(text_col)))).join(
+        replicate(leaving),
+        F.col(f"`{id_col}`").eqNullSafe(F.col(other_id)) & (F.col(digest) == F.col(other_digest)),
+        "left_anti",
     )
+    # Texts are shuffled once more only where ids do not tell the rows apart.
+    if found.groupBy("doc_id", "text_md5").count().filter("count > 1").take(1):
+        kept = kept.dropDuplicates([id_col, digest])
+    return kept.drop(digest)
