@@ -175,6 +175,18 @@ def next_nodes(node: Column, sketches: Column) -> Column:
     return nodes(node, sketches)
 
 
+def brief(sketches: Column) -> Column:
+    """The lowest byte of each min-hash: equal ones stay equal, and of different ones
+    one in 256 seems equal. Enough to rule pairs out, in a quarter of the bytes."""
+
+    @F.arrow_udf(T.BinaryType())
+    def lowest(column: pa.Array) -> pa.Array:
+        rows = np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
+        return pa.array([row.tobytes() for row in rows.astype(np.uint8)], pa.binary())
+
+    return lowest(sketches)
+
+
 # --- leaves ----------------------------------------------------------------------
 
 
@@ -185,20 +197,23 @@ def leaves(sets: DataFrame, runs: int, leaf: int, depth: int, block: int) -> Dat
     blocks only rows of side 0 are compared with rows of side 1.
     """
     level = sets.select("rep", F.explode(first_nodes(F.col("sketch"), runs)).alias("node"))
-    parts = []
+    parts, held = [], sets
     for at in range(1, depth + 1):
         level = materialize(level, "paths")
         sizes = materialize(
             level.groupBy("node").agg(F.count("*").alias("size")).filter("size > 1"), "path-sizes"
         )
-        shared = level.join(sizes, "node")
+        shared = materialize(level.join(sizes, "node"), "shared-paths")
         small = shared if at == depth else shared.filter(F.col("size") <= leaf)
         parts.append(small.select("node", "rep", "size"))
         if at < depth:
             large = shared.filter(F.col("size") > leaf).select("node", "rep")
             if not large.take(1):
                 break
-            level = large.join(sets.select("rep", "sketch"), "rep").select(
+            # A set outside all large nodes is in none further down.
+            inside = replicate(large.select("rep").distinct())
+            held = materialize(held.join(inside, "rep", "left_semi").select("rep", "sketch"), "held")
+            level = large.join(held, "rep").select(
                 "rep", F.explode(next_nodes(F.col("node"), F.col("sketch"))).alias("node")
             )
     found = parts[0]
@@ -263,7 +278,7 @@ def candidates(in_leaves: DataFrame, least: float) -> DataFrame:
             reps, at = np.unique(reps, return_index=True)
             if len(reps) < 2:
                 continue
-            rows = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32)
+            rows = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.uint8)
             rows = rows.reshape(-1, COORDINATES)[at]
             side = table.column("side").to_numpy()[at]
             two = table.column("two")[0].as_py()
@@ -469,8 +484,9 @@ def near_duplicates(
     in_leaves = materialize(
         leaves(sets, runs_for(recall, threshold, depth), leaf, depth, block), "leaves"
     )
+    briefs = sets.select("rep", brief(F.col("sketch")).alias("brief"))
     met = materialize(
-        candidates(in_leaves.join(sets, "rep").select("bucket", "rep", "side", "two", "sketch"),
+        candidates(in_leaves.join(briefs, "rep").select("bucket", "rep", "side", "two", "brief"),
                    threshold - SLACK),
         "candidates",
     )
