@@ -42,11 +42,10 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    text = text_or_empty("text")
-    digests = bpe.round_trip(text)
-    return docs.select(
-        "doc_id", "lang", "source", bpe.encode(text).alias("ids"), digests.alias("d")
-    ).select("doc_id", "lang", "source", "ids", "d.*")
+    encoded = bpe.encode_and_check(text_or_empty("text"))
+    return docs.select("doc_id", "lang", "source", encoded.alias("e")).select(
+        "doc_id", "lang", "source", "e.*"
+    )
 
 
 STAGES = [

@@ -209,9 +209,7 @@ def encode(text: Column, vocabulary: str | None = None) -> Column:
     @F.arrow_udf(T.ArrayType(T.IntegerType()))
     def ids(texts: pa.Array) -> pa.Array:
         packed = [codec(path).encode_bytes(t) for t in texts_of(texts)]
-        ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
-        flat = np.frombuffer(b"".join(packed), "<i4")
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+        return _ids(packed)
 
     return ids(text)
 
@@ -234,6 +232,22 @@ DIGEST = T.StructType(
         T.StructField("decoded_sha256", T.StringType()),
     ]
 )
+ENCODED = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), *DIGEST.fields])
+
+
+def _ids(packed: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def _digests(path: str, packed: list[bytes]) -> list[pa.Array]:
+    """Columns of ``DIGEST``; the ids are decoded for the last one."""
+    back = (codec(path).decode(unpack(p)).encode("utf-8") for p in packed)
+    return [
+        pa.array([len(p) // 4 for p in packed], pa.int64()),
+        pa.array([hashlib.sha256(p).hexdigest() for p in packed], pa.string()),
+        pa.array([hashlib.sha256(b).hexdigest() for b in back], pa.string()),
+    ]
 
 
 def round_trip(text: Column, vocabulary: str | None = None) -> Column:
@@ -243,16 +257,19 @@ def round_trip(text: Column, vocabulary: str | None = None) -> Column:
 
     @F.arrow_udf(DIGEST)
     def digests(texts: pa.Array) -> pa.Array:
-        counts, ids, decoded = [], [], []
-        for text in texts_of(texts):
-            packed = codec(path).encode_bytes(text)
-            counts.append(len(packed) // 4)
-            ids.append(hashlib.sha256(packed).hexdigest())
-            back = codec(path).decode(unpack(packed)).encode("utf-8")
-            decoded.append(hashlib.sha256(back).hexdigest())
-        return pa.StructArray.from_arrays(
-            [pa.array(counts, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-            [f.name for f in DIGEST],
-        )
+        packed = [codec(path).encode_bytes(t) for t in texts_of(texts)]
+        return pa.StructArray.from_arrays(_digests(path, packed), DIGEST.names)
 
     return digests(text)
+
+
+def encode_and_check(text: Column, vocabulary: str | None = None) -> Column:
+    """Token ids of each text and the digests of ``round_trip``, from one encoding."""
+    path = vocabulary or default_vocabulary()
+
+    @F.arrow_udf(ENCODED)
+    def encoded(texts: pa.Array) -> pa.Array:
+        packed = [codec(path).encode_bytes(t) for t in texts_of(texts)]
+        return pa.StructArray.from_arrays([_ids(packed), *_digests(path, packed)], ENCODED.names)
+
+    return encoded(text)
