@@ -17,7 +17,8 @@ position is the call, the others get status "repeated_call"; of its results the
 behind it is linked, the others get "repeated_result". A result without its call is
 "orphan_result", a call without result "no_result". References to unknown ids are
 errors and do not order; calls in or behind a circle of references have no level and
-status "circular". NULL ids match nothing; NULL arguments count as invalid JSON.
+status "circular". NULL ids match nothing; NULL arguments count as invalid JSON, and
+so do numbers beyond the range of doubles and halves of surrogate pairs.
 """
 
 from __future__ import annotations
@@ -64,9 +65,10 @@ def violations(value, schema: dict, path: str = "$") -> list[str]:
         return [f"{path}: not of type {schema['type']}"]
     if "enum" in schema and value not in schema["enum"]:
         out.append(f"{path}: not in the list")
-    if "minimum" in schema and value < schema["minimum"]:
+    # Limits bind numbers only.
+    if "minimum" in schema and of_type(value, "number") and value < schema["minimum"]:
         out.append(f"{path}: below {schema['minimum']}")
-    if "maximum" in schema and value > schema["maximum"]:
+    if "maximum" in schema and of_type(value, "number") and value > schema["maximum"]:
         out.append(f"{path}: above {schema['maximum']}")
     if isinstance(value, dict):
         known = schema.get("properties", {})
@@ -94,6 +96,8 @@ def check(call_id, name, arguments, result, schemas: dict) -> tuple[bool, list[s
     """Validity, errors, canonical JSON (None if the arguments are no JSON)."""
     try:
         value = json.loads(arguments or "", parse_constant=_no_constant)
+        # Numbers beyond all bounds and halves of surrogate pairs have no canonical form.
+        canonical(value).encode("utf-8")
     except (ValueError, RecursionError):
         return False, ["$: not JSON"], None
     if name in schemas:

@@ -216,6 +216,18 @@ def test_calls_and_results(spark):
     assert tools.link(calls.limit(0), results.limit(0), {}).count() == 0
 
 
+@pytest.mark.parametrize("arguments", [None, "", "{", "NaN", '{"x":1e999}', '"\\ud800"', '{"\\ud800":1}', "[" * 100_000])
+def test_arguments_without_canonical_form_are_invalid(arguments):
+    assert tools.check("a", "note", arguments, None, registry.TOOLS) == (False, ["$: not JSON"], None)
+
+
+def test_limits_bind_numbers_only():
+    schema = {"minimum": 2, "maximum": 5}
+    assert tools.violations("text", schema) == tools.violations(None, schema) == tools.violations(3, schema) == []
+    assert tools.violations(1, schema) == ["$: below 2"]
+    assert tools.violations(6.5, schema) == ["$: above 5"]
+
+
 def test_tool_query_orders_every_conversation(spark):
     rows = registry.QUERIES["op8_tool_calls"](spark, SMALL).collect()
     calls, _ = registry.derived_calls(table(spark, SMALL, "conversations"))
