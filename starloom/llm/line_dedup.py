@@ -11,10 +11,10 @@ found by hash, then compared byte by byte: both the grouping and the join that
 decide use the chunk's text as key.
 
 Built from DataFrame functions only. Chunk hashes are counted first, map-side
-combined; only texts of chunks whose hash repeats are shuffled, and those of one hot
-chunk meet one row, which adaptive execution splits. The repeated hashes and the
-removals are broadcast if their counted size allows; beyond it they, and the texts
-that meet them, are shuffled.
+combined; only texts of chunks whose hash repeats are shuffled. First occurrences are
+written before the join, so that its sides are plain tables: they are broadcast, like
+the repeated hashes and the removals, if their counted size allows; beyond it both
+sides are shuffled, and adaptive execution splits the rows of a hot chunk.
 
 NULL texts stay NULL. A document whose chunks all go keeps its row with the empty
 text. Rows equal in id and text are one document: they keep and lose the same chunks.
@@ -104,9 +104,14 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     again = materialize(found.join(replicate(repeated), "hash", "left_semi"), "line-chunks")
     here = F.struct(F.col("id").isNull().alias("no_id"), "id", "version", "place")
-    first = again.groupBy("hash", "chunk").agg(F.min(here).alias("first"))
+    first = materialize(
+        again.groupBy("hash", "chunk").agg(F.min(here).alias("first"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .drop("n"),
+        "line-chunk-firsts",
+    )
     return (
-        again.join(first, ["hash", "chunk"])
+        again.join(replicate(first), ["hash", "chunk"])
         .filter(~here.eqNullSafe(F.col("first")))
         .groupBy("id", "version")
         .agg(F.collect_set("place").alias("places"))
