@@ -516,17 +516,26 @@ def near_duplicates(
     )
     labels = components(linked.select("rep", "root"))
     near = linked.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = classes.select("set", "rep", "copy_id", "copies").join(near, "rep", "left").join(
-        labels, "rep", "left"
+    # Smallest ids are written before the join, so that the rows of a hot group can be
+    # split: an aggregate joined on its own key keeps each group in one task.
+    lowest = materialize(
+        labels.join(classes.select("rep", "copy_id"), "rep")
+        .groupBy("label")
+        .agg(F.min("copy_id").alias("class_id")),
+        "group-ids",
     )
-    groups = groups.withColumn("label", F.coalesce("label", "rep"))
-    lowest = groups.groupBy("label").agg(F.min("copy_id").alias("class_id"))
-    groups = groups.join(lowest, "label").select(
-        "set",
-        "copy_id",
-        "class_id",
-        F.col("label").alias("group"),
-        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    labels = labels.join(lowest, "label")
+    groups = (
+        classes.select("set", "rep", "copy_id", "copies")
+        .join(near, "rep", "left")
+        .join(labels, "rep", "left")
+        .select(
+            "set",
+            "copy_id",
+            F.coalesce("class_id", "copy_id").alias("class_id"),
+            F.coalesce("label", "rep").alias("group"),
+            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        )
     )
     return slim.join(groups, "set").select(
         "doc_id", "text_md5", "group", "class_id", "copy_id", "n_links"
@@ -541,7 +550,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         near_duplicates(docs, id_col, text_col, **how).select("group", "doc_id", "text_md5"), "groups"
     )
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_md5")
-    best = found.groupBy("group").agg(F.min(row).alias("best"))
+    # Written before the join, as above; rows that are alone in their group stay.
+    best = materialize(
+        found.groupBy("group")
+        .agg(F.min(row).alias("best"), F.count("*").alias("n"))
+        .filter("n > 1")
+        .drop("n"),
+        "groups-best",
+    )
     leaving = materialize(
         found.join(best, "group")
         .filter(~row.eqNullSafe(F.col("best")))
