@@ -18,6 +18,7 @@ from starloom.llm import (
     rules,
     sharding,
     tools,
+    variants,
 )
 from starloom.llm.common import importable, table, text_or_empty
 from starloom.session import pin_utc
@@ -101,6 +102,11 @@ def op10_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op12_spelling_variants(spark, sf_dir):
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
 # --- tool calls in the conversations ---------------------------------------------
 
 # What the derived calls may call.
