@@ -14,7 +14,9 @@ from starloom.llm import (
     fm_index,
     jaccard,
     line_dedup,
+    packing,
     pii,
+    repair,
     rules,
     sharding,
     tools,
@@ -102,11 +104,21 @@ def op10_decontamination(spark, sf_dir):
     )
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return repair.repair(table(spark, sf_dir, "conversations"), with_rows=False)[0]
+
+
 @query
 def op12_spelling_variants(spark, sf_dir):
     return variants.group(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 # --- tool calls in the conversations ---------------------------------------------
 
 # What the derived calls may call.
