@@ -22,6 +22,7 @@ packed each for itself. Very long texts are encoded whole. An empty table gives
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -29,7 +30,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,7 +43,7 @@ CAPACITY = 1024
 END_ID = 2
 # Beyond so many bytes between white space, or of white space, the merge loop of the
 # fast encoder is quadratic; such texts go to the other one, with equal results.
-LONG_RUN = regex.compile(r"\S{4000}|\s{4000}")
+LONG_RUN = re.compile(r"\S{4000}|\s{4000}")
 RANK_BITS = 45
 
 
@@ -70,7 +70,7 @@ class Encoder:
     def ids(self, text: str) -> np.ndarray:
         if self.fast is None or LONG_RUN.search(text):
             return np.frombuffer(self.codec.encode_bytes(text), "<u4")
-        return np.array(self.fast.encode(text, allowed_special="all"), dtype="<u4")
+        return self.fast.encode_to_numpy(text, allowed_special="all")
 
 
 @lru_cache(maxsize=4)
@@ -103,7 +103,7 @@ def pieces(text: Column, vocabulary: str, capacity: int, end_id: int, keep_ids:
     def cut(texts: pa.Array) -> pa.Array:
         ends, starts, lengths, crcs, kept, places = [0], [], [], [], [], []
         for text in texts_of(texts):
-            ids = np.append(encoder(vocabulary).ids(text), end_id).astype("<u4")
+            ids = np.append(encoder(vocabulary).ids(text), np.uint32(end_id))
             edges = cuts(len(ids), capacity)
             for place, (start, end) in enumerate(zip(edges, edges[1:])):
                 part = ids[start:end]
@@ -214,7 +214,9 @@ def pack(
     """Per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and the
     token ids if ``keep_ids``."""
     cut = pieces(text_or_empty(text_col), vocabulary or bpe.default_vocabulary(), capacity, end_id, keep_ids)
-    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), cut.alias("p")).select("doc_id", F.inline("p"))
+    # Every text has a piece. ``inline`` would filter for that, and encode twice.
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), cut.alias("p"))
+    rows = rows.select("doc_id", F.inline_outer("p"))
     if not keep_ids:
         rows = rows.drop("ids")
     cut_rows = materialize(rows, "pieces")
