@@ -1,29 +1,47 @@
-from starloom.operators.keys import with_dense_id, with_identity
+from starloom.operators.evidence import paired_gain
+from starloom.operators.key_filter import KeyFilter
+from starloom.operators.keys import with_dense_id, with_dense_id_in_place, with_identity
 from starloom.operators.latest import latest_by
 from starloom.operators.quality import (
     duplicate_report,
     duplicates,
+    duplicates_by_hash,
     length_report,
     length_violations,
     null_report,
     null_violations,
 )
-from starloom.operators.star import artists, build_star, songplay, songs, time_dim, users
+from starloom.operators.star import (
+    artist_versions,
+    artists,
+    build_star,
+    songplay,
+    songs,
+    time_dim,
+    user_versions,
+    users,
+)
 
 __all__ = [
+    "KeyFilter",
+    "artist_versions",
     "artists",
     "build_star",
     "duplicate_report",
     "duplicates",
+    "duplicates_by_hash",
     "latest_by",
     "length_report",
     "length_violations",
     "null_report",
     "null_violations",
+    "paired_gain",
     "songplay",
     "songs",
     "time_dim",
+    "user_versions",
     "users",
     "with_dense_id",
+    "with_dense_id_in_place",
     "with_identity",
 ]

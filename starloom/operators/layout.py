@@ -9,7 +9,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
@@ -25,8 +25,11 @@ SKEW_FACTOR = 2.5
 BUCKET_ROWS = 1_000_000
 MAX_BUCKETS = 1 << 16
 
-# Table properties a bucketed table carries.
-BUCKETS, HOT = "starloom.buckets", "starloom.hot"
+# Table properties a bucketed table carries; hot buckets as numbers, comma-joined.
+BUCKETS, HOT, HOT_BUCKETS = "starloom.buckets", "starloom.hot", "starloom.hot_buckets"
+
+# The bucket a file of a bucketed table belongs to stands at the end of its name.
+BUCKET_OF_FILE = r"_(\d+)(?:\..*)?$"
 
 
 @dataclass(frozen=True)
@@ -71,9 +74,14 @@ def bucket_count(rows: int, cores: int, bucket_rows: int = BUCKET_ROWS) -> int:
     return min(MAX_BUCKETS, 1 << (wanted - 1).bit_length())
 
 
+def hot_buckets(sizes: Mapping[int, int], n: int, factor: float = SKEW_FACTOR) -> list[int]:
+    """The buckets far above the mean, at most ``n / factor`` of them."""
+    return sorted(b for b, size in sizes.items() if size > factor * sum(sizes.values()) / n)
+
+
 def is_hot(sizes: Mapping[int, int], n: int, factor: float = SKEW_FACTOR) -> bool:
     """Whether one of ``n`` buckets is far above the mean."""
-    return max(sizes.values(), default=0) > factor * sum(sizes.values()) / n
+    return bool(hot_buckets(sizes, n, factor))
 
 
 def _spread(df: DataFrame, n: int, col: str, sizes: Mapping[int, int]) -> DataFrame:
@@ -114,11 +122,11 @@ def write_layout(
     statistics let scans skip blocks. A value with too many rows for one range
     is split by the rest of the row and, for copies, by where they come from.
     """
-    hot = False
+    hot: list[int] = []
     if bucket:
         n, col = bucket
         sizes = bucket_sizes(df, n, col)
-        hot = is_hot(sizes, n)
+        hot = hot_buckets(sizes, n)
         writer = _spread(df, n, col, sizes).write.bucketBy(n, col)
         writer = writer.sortBy(sort) if sort else writer
     elif sort:
@@ -135,9 +143,10 @@ def write_layout(
     if bucket:
         df.sparkSession.sql(
             f"ALTER TABLE {table} SET TBLPROPERTIES "
-            f"('{BUCKETS}' = '{bucket[0]}', '{HOT}' = '{str(hot).lower()}')"
+            f"('{BUCKETS}' = '{bucket[0]}', '{HOT}' = '{str(bool(hot)).lower()}', "
+            f"'{HOT_BUCKETS}' = '{','.join(map(str, hot))}')"
         )
-    return hot
+    return bool(hot)
 
 
 def load_layout(
@@ -207,6 +216,60 @@ def read_layout(
     return tables
 
 
+def _in_buckets(df: DataFrame, buckets: list[int]) -> Column:
+    """Whether a row lies in a file of one of ``buckets``. Files of others are not
+    opened: the condition is on the file's name."""
+    bucket = F.regexp_extract(df.metadataColumn("_metadata")["file_name"], BUCKET_OF_FILE, 1)
+    return bucket.cast("int").isin(buckets)
+
+
+def hybrid_join(
+    spark: SparkSession,
+    left: str,
+    right: str,
+    left_key: str,
+    right_key: str,
+    left_columns: list[str],
+    right_columns: list[str],
+    max_bytes: int = REPLICATE_BYTES,
+) -> DataFrame:
+    """Inner join of two tables bucketed alike on their keys, hot buckets or not.
+
+    Cold buckets are merged bucket by bucket, without an exchange. A bucket that is hot
+    on either side is taken out of that: its files are read without buckets, by as many
+    tasks as they are long, against the few rows the other side has in the bucket, which
+    are broadcast after a size check. Beyond ``max_bytes`` that part alone is shuffled,
+    and adaptive execution splits the hot key. Files of a part are picked by name, so no
+    file is opened twice.
+    """
+    known = [properties(spark, name) for name in (left, right)]
+    counts = {p[BUCKETS] for p in known}
+    if len(counts) != 1:
+        raise ValueError(f"{left} and {right} are not bucketed alike")
+    hot = sorted({int(b) for p in known for b in p.get(HOT_BUCKETS, "").split(",") if b})
+    sides = [(left, left_key, left_columns), (right, right_key, right_columns)]
+
+    def part(read: Callable[[str], DataFrame], inside: bool) -> tuple[DataFrame, DataFrame]:
+        out = []
+        for table, key, columns in sides:
+            df = read(table)
+            if hot:
+                within = _in_buckets(df, hot)
+                df = df.where(within if inside else ~within)
+            out.append(df.select(key, *[c for c in columns if c != key]))
+        return out[0], out[1]
+
+    def joined(a: DataFrame, b: DataFrame) -> DataFrame:
+        return a.join(b, F.col(left_key) == F.col(right_key)).select(*left_columns, *right_columns)
+
+    a, b = part(spark.table, inside=False)
+    cold = joined(a, b.hint("merge"))
+    if not hot:
+        return cold
+    a, b = part(lambda table: _unbucketed(spark, table), inside=True)
+    return cold.unionByName(joined(a, replicate(b, max_bytes)))
+
+
 def _side_by_side(a: DataFrame, b: DataFrame) -> DataFrame:
     """Each distinct row of the two results with its copies in ``a`` (``copies``)
     and those less its copies in ``b`` (``surplus``). Reads each side once."""
@@ -268,6 +331,31 @@ def improvement(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("nodist",
     )
 
 
+def paired_timings(
+    spark: SparkSession,
+    queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],
+    a: Tables,
+    b: Tables,
+    runs: int,
+    names: tuple[str, str] = ("nodist", "dist"),
+) -> DataFrame:
+    """(query, run, seconds of each side): ``runs`` pairs per query after an untimed one.
+
+    The two runs of a pair follow each other, and which comes first changes from pair
+    to pair, so that drift of the machine meets both sides alike.
+    """
+    taken = []
+    for name, query in queries.items():
+        for tables in (a, b):
+            _seconds(query, tables)
+        for run in range(runs):
+            sides = [a, b] if run % 2 == 0 else [b, a]
+            seconds = [_seconds(query, tables) for tables in sides]
+            taken.append((name, run, *(seconds if run % 2 == 0 else reversed(seconds))))
+    columns = ", ".join(f"seconds_{name} double" for name in names)
+    return spark.createDataFrame(taken, f"query string, run int, {columns}")
+
+
 def compare_layouts(
     spark: SparkSession,
     queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]],

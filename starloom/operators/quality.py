@@ -8,6 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
+from starloom.session import materialize
+
 # The two outcomes of a duplicate check.
 FOUND = "Duplicates found"
 NOT_FOUND = "No duplicates found"
@@ -19,6 +22,23 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("occurrences")).where("occurrences > 1")
 
 
+def duplicates_by_hash(df: DataFrame, keys: list[str], max_bytes: int = REPLICATE_BYTES) -> DataFrame:
+    """``duplicates`` where keys are wide and repeat seldom, as they should.
+
+    First only 64-bit hashes of the keys are counted, combined map-side; keys whose hash
+    is met once cannot repeat. Only rows of hashes met twice go on to be grouped by the
+    keys themselves, which tells chance from repetition. So the first shuffle carries
+    eight bytes for a key, whatever it is made of, and the second repeated keys alone,
+    combined map-side. The repeated hashes are broadcast after a size check, else both
+    sides are shuffled by hash. ``df`` is read twice: pass stored rows.
+    """
+    hashed = F.xxhash64(*[F.col(f"`{k}`") for k in keys])
+    met = df.select(hashed.alias("_hash")).groupBy("_hash").agg(F.count("*").alias("_n"))
+    again = materialize(met.where("_n > 1").select("_hash"), "repeated-hashes")
+    rest = df.select(*keys, hashed.alias("_hash")).join(replicate(again, max_bytes), "_hash", "left_semi")
+    return duplicates(rest, keys)
+
+
 def duplicate_report(tables: Mapping[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     """One row per table: rows, keys that repeat, rows beyond the first."""
     return _union(

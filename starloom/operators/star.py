@@ -72,9 +72,21 @@ def songplay(events: DataFrame, songs: DataFrame, ignore_trailing_blanks: bool =
     return plays.join(catalogue, ["_artist", "_title"]).select(FACT_COLUMNS).distinct()
 
 
-def users(events: DataFrame) -> DataFrame:
-    """Latest attributes of every user seen on any page, not only on plays."""
-    seen = events.where(F.col("userId").isNotNull()).select(
+# Dimensions of latest rows: key, order column, and the attributes that break ties.
+LATEST = {
+    "users": (["user_id"], "ts", ["first_name", "last_name", "gender", "level"]),
+    "artists": (["artist_id"], "year", ["name", "location", "latitude", "longitude"]),
+}
+
+
+def _latest(name: str, versions: DataFrame) -> DataFrame:
+    keys, order, attributes = LATEST[name]
+    return latest_by(versions, keys, [F.col(order).desc_nulls_first()], attributes).drop(order)
+
+
+def user_versions(events: DataFrame) -> DataFrame:
+    """The attributes of every user on any page, not only on plays, with their time."""
+    return events.where(F.col("userId").isNotNull()).select(
         F.col("userId").alias("user_id"),
         F.col("firstName").alias("first_name"),
         F.col("lastName").alias("last_name"),
@@ -82,8 +94,11 @@ def users(events: DataFrame) -> DataFrame:
         "level",
         "ts",
     )
-    attributes = ["first_name", "last_name", "gender", "level"]
-    return latest_by(seen, ["user_id"], [F.col("ts").desc_nulls_first()], attributes).drop("ts")
+
+
+def users(events: DataFrame) -> DataFrame:
+    """Latest attributes of every user; a missing time counts as latest."""
+    return _latest("users", user_versions(events))
 
 
 def songs(catalogue: DataFrame) -> DataFrame:
@@ -92,10 +107,9 @@ def songs(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("song_id", "title", "artist_id", "year", "duration").distinct()
 
 
-def artists(catalogue: DataFrame) -> DataFrame:
-    """Every artist as in the row of their latest year. Year 0 is "unknown" and
-    sorts last, a missing year first."""
-    rows = catalogue.select(
+def artist_versions(catalogue: DataFrame) -> DataFrame:
+    """The attributes of every artist in each catalogue row, with its year."""
+    return catalogue.select(
         "artist_id",
         F.col("artist_name").alias("name"),
         F.col("artist_location").alias("location"),
@@ -103,9 +117,12 @@ def artists(catalogue: DataFrame) -> DataFrame:
         F.col("artist_longitude").cast("double").alias("longitude"),
         "year",
     )
-    attributes = ["name", "location", "latitude", "longitude"]
-    newest = F.col("year").desc_nulls_first()
-    return latest_by(rows, ["artist_id"], [newest], attributes).drop("year")
+
+
+def artists(catalogue: DataFrame) -> DataFrame:
+    """Every artist as in the row of their latest year. Year 0 is "unknown" and
+    sorts last, a missing year first."""
+    return _latest("artists", artist_versions(catalogue))
 
 
 def time_dim(plays: DataFrame) -> DataFrame:

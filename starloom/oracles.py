@@ -282,6 +282,22 @@ _SSB = {
 }
 
 
+def _loaded(label: str, name: str, declared) -> str:
+    """Rows, NULLs and overlong texts of each column, as a load reports them."""
+    lengths = schemas.text_lengths(declared, schemas.DEFAULT_TEXT_BYTES)
+
+    def too_long(c: str) -> str:
+        if c not in lengths:
+            return "CAST(NULL AS BIGINT)"
+        return f'count(*) FILTER (strlen("{c}") > {lengths[c]})'
+
+    return " UNION ALL ".join(
+        f"SELECT '{label}' AS table_name, '{c}' AS column_name, count(*) AS row_count, "
+        f'count(*) FILTER ("{c}" IS NULL) AS nulls, {too_long(c)} AS too_long FROM {name}'
+        for c in declared.names
+    )
+
+
 def _counts(names: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{label}' AS table_name, count(*) AS row_count FROM {name}"
@@ -409,11 +425,90 @@ def oracle_sql() -> dict[str, str]:
             "tickets", f"{_TICKETS_AS_TEXT} UNION ALL {_TICKETS_AS_TEXT}"
         ),
         "star_roundtrip": _over("fact users songs artists times", _counts(_STAR)),
+        "dup_songplay_natural_by_hash": _over(
+            "fact", _repeated("fact", "start_time, user_id, session_id")
+        ),
+        "dup_catalogue_name_by_hash": _over(
+            "staging_songs", _repeated("staging_songs", "artist_name, title")
+        ),
+        "etl_load_figures": _over(
+            "staging_events staging_songs " + star,
+            " UNION ALL ".join(
+                [
+                    _loaded("staging_events", "staging_events", schemas.EVENTS),
+                    _loaded("staging_songs", "staging_songs", schemas.SONGS_SOURCE),
+                    _loaded("songplay", "keyed", schemas.SONGPLAY),
+                    _loaded("users", "users", schemas.USERS),
+                    _loaded("songs", "songs", schemas.SONGS),
+                    _loaded("artists", "artists", schemas.ARTISTS),
+                    _loaded("time", "times", schemas.TIME),
+                ]
+            ),
+        ),
+        "overlong_load": " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, {most} AS allowed, "
+            f"coalesce(max(strlen({c})), 0) > {most} AS refused, "
+            f"CASE WHEN coalesce(max(strlen({c})), 0) > {most} THEN 0 ELSE count(*) END AS row_count "
+            "FROM documents"
+            for c, most in (("text", schemas.DEFAULT_TEXT_BYTES), ("lang", 2), ("source", 4))
+        ),
+        "load_diagnosis": _over(
+            "staging_events",
+            """
+            SELECT column_name, kind, count(*) AS lines
+            FROM (SELECT CASE WHEN "itemInSession" % 50 = 9 THEN 'userId' END AS column_name,
+                         CASE WHEN "itemInSession" % 50 = 9 THEN 'not a valid bigint'
+                              ELSE 'no JSON object' END AS kind
+                  FROM staging_events WHERE "itemInSession" % 50 IN (7, 9))
+            GROUP BY ALL
+            """,
+        ),
+        "users_two_appends": _rows_of("users"),
+        "artists_two_appends": _rows_of("artists"),
+        "offending_keys": _over(
+            "users songs",
+            "SELECT 'users' AS table_name, CAST(user_id AS VARCHAR) AS key, "
+            "CAST(2 AS BIGINT) AS occurrences FROM users UNION ALL "
+            "SELECT 'songs', coalesce(song_id, 'NULL'), 2 * count(*) FROM songs GROUP BY song_id",
+        ),
+        "lineitem_keyed_in_place": "SELECT unnest(range(1, (SELECT count(*) FROM lineitem) + 1)) AS line_id",
+        "layout_hybrid_join": """
+            SELECT coalesce(p_brand, 'unknown') AS p_brand, count(*) AS line_count,
+                   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
+            FROM (SELECT l_quantity, CASE WHEN l_returnflag <> 'R' THEN l_partkey ELSE -1 END AS k
+                  FROM lineitem) LEFT JOIN part ON p_partkey = k
+            WHERE k = -1 OR p_partkey IS NOT NULL
+            GROUP BY ALL
+        """,
+        "paired_gains": """
+            WITH gains AS (
+              SELECT l_suppkey, 100 * (p - c) / p AS gain
+              FROM (SELECT l_suppkey, l_extendedprice AS p,
+                           l_extendedprice * (1 - l_discount) * (1 + l_tax) AS c FROM lineitem)
+              WHERE p > 0 AND c IS NOT NULL
+            ), counted AS (
+              SELECT l_suppkey, count(*) AS pairs, count(*) FILTER (gain > 0) AS wins,
+                     count(*) FILTER (gain < 0) AS losses, round(median(gain), 6) AS median_gain,
+                     round(min(gain), 6) AS least_gain, round(max(gain), 6) AS most_gain
+              FROM gains GROUP BY l_suppkey
+            ), tested AS (
+              SELECT *, CASE WHEN wins + losses = 0 THEN 1.0::DOUBLE ELSE least(1.0::DOUBLE, 2 * list_sum(
+                list_transform(range(0, least(wins, losses) + 1), lambda i:
+                  exp(lgamma(wins + losses + 1) - lgamma(i + 1) - lgamma(wins + losses - i + 1)
+                      - (wins + losses) * ln(2))))) END AS p
+              FROM counted
+            )
+            SELECT l_suppkey, pairs, wins, losses, median_gain, least_gain, most_gain,
+                   round(p, 6) AS p_value, p < 0.05 AS proven
+            FROM tested
+        """,
         "etl_report": _over(star, " UNION ALL ".join(_STAR_CHECKS)),
         "ssb_one_dim": _rows_of("one_dim"),
         "ssb_two_dim": _rows_of("two_dim"),
         "ssb_drill": _rows_of("drill"),
         "ssb_same_dist": _rows_of("same_dist"),
+        "ssb_two_dim_filtered": _rows_of("two_dim"),
+        "ssb_drill_filtered": _rows_of("drill"),
         "layout_bucketed_join": _rows_of("same_dist"),
         "layout_load": _over(
             " ".join(_SSB.values()),

@@ -1,6 +1,6 @@
 from starloom.plans.analytics import most_played, plays_by_hour, row_counts
 from starloom.plans.comparison import compare, load_both, read_benchmark
-from starloom.plans.etl import RunConfig, offending_keys, run
+from starloom.plans.etl import RunConfig, merge_dimension, offending_keys, run, run_counted
 from starloom.plans.ssb import drill, one_dim, same_dist, two_dim
 from starloom.plans.tickets import load_tickets
 
@@ -10,6 +10,7 @@ __all__ = [
     "drill",
     "load_both",
     "load_tickets",
+    "merge_dimension",
     "most_played",
     "offending_keys",
     "one_dim",
@@ -17,6 +18,7 @@ __all__ = [
     "read_benchmark",
     "row_counts",
     "run",
+    "run_counted",
     "same_dist",
     "two_dim",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom import schemas
 from starloom.operators import layout
+from starloom.operators.evidence import paired_gain
 from starloom.plans import ssb
 from starloom.sources import read_delimited, require, use
 
@@ -69,9 +70,26 @@ def compare(
 ) -> DataFrame:
     """Query times of both layouts, the gain in percent, and whether the results
     agree, one row per query."""
+    plain, spread = _readers(spark, databases)
+    return layout.compare_layouts(spark, queries, plain, spread, tuple(layout.LAYOUTS))
+
+
+def evidence(
+    spark: SparkSession,
+    runs: int,
+    databases: Mapping[str, str] | None = None,
+    queries: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]] = QUERIES,
+) -> DataFrame:
+    """The gain of the second layout per query over ``runs`` pairs of runs: median,
+    spread, and how likely it is by chance."""
+    names = tuple(layout.LAYOUTS)
+    pairs = layout.paired_timings(spark, queries, *_readers(spark, databases), runs, names)
+    return paired_gain(pairs, "query", f"seconds_{names[0]}", f"seconds_{names[1]}")
+
+
+def _readers(spark: SparkSession, databases: Mapping[str, str] | None):
     databases = databases or {name: name for name in layout.LAYOUTS}
-    plain, spread = (
+    return [
         partial(layout.read_layout, spark, databases[name], spec)
         for name, spec in layout.LAYOUTS.items()
-    )
-    return layout.compare_layouts(spark, queries, plain, spread, tuple(layout.LAYOUTS))
+    ]

@@ -2,8 +2,9 @@
 
 Dimensions are filtered and cut to the columns in use before they join, the
 most selective first. What is left of part, supplier and customer is counted:
-within ``max_bytes`` it is broadcast and the fact is not shuffled; beyond, it is
-shuffled, and adaptive execution splits hot keys. The calendar has one row per
+within ``max_bytes`` it is broadcast and the fact is not shuffled; beyond, lines that a
+Bloom filter of its keys rules out leave first, and what is left is shuffled, where
+adaptive execution splits hot keys. The calendar has one row per
 day and is small enough for Spark's own estimate.
 
 Money is in integer cents and multiplied as BIGINT: INTEGER products overflow,
@@ -17,7 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.broadcasting import REPLICATE_BYTES, replicate
+from starloom.operators.broadcasting import REPLICATE_BYTES, payload_bytes
+from starloom.operators.key_filter import MAX_WORDS, KeyFilter
 
 # The benchmark's own query parameters.
 YEAR = 1997
@@ -44,6 +46,30 @@ def _within(lo: DataFrame, days: DataFrame) -> DataFrame:
     return lo.where(F.col("lo_orderdate").between(F.lit(first), F.lit(last)))
 
 
+def _reduced(
+    lo: DataFrame,
+    sides: Sequence[tuple[DataFrame, str, str]],
+    max_bytes: int,
+    max_words: int = MAX_WORDS,
+) -> DataFrame:
+    """``lo`` joined with each (side, its key, the key in ``lo``).
+
+    All filters come before the first shuffle, so that is of lines with a partner on
+    every side.
+    """
+    small, large = [], []
+    for side, key, fact_key in sides:
+        if payload_bytes(side) <= max_bytes:
+            small.append((F.broadcast(side), key, fact_key))
+            continue
+        known = KeyFilter.of(side, key, max_words=max_words)
+        lo = known.apply(lo, fact_key) if known else lo
+        large.append((side, key, fact_key))
+    for side, key, fact_key in [*small, *large]:
+        lo = lo.join(side, F.col(fact_key) == F.col(key))
+    return lo
+
+
 def one_dim(
     lo: DataFrame,
     d: DataFrame,
@@ -70,9 +96,9 @@ def two_dim(
     parts = p.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
     suppliers = s.where(F.col("s_region") == region).select("s_suppkey")
     days = d.select("d_datekey", "d_year")
+    sides = [(parts, "p_partkey", "lo_partkey"), (suppliers, "s_suppkey", "lo_suppkey")]
     return (
-        lo.join(replicate(parts, max_bytes), F.col("lo_partkey") == F.col("p_partkey"))
-        .join(replicate(suppliers, max_bytes), F.col("lo_suppkey") == F.col("s_suppkey"))
+        _reduced(lo, sides, max_bytes)
         .join(days, F.col("lo_orderdate") == F.col("d_datekey"))
         .groupBy("d_year", "p_brand1")
         .agg(_revenue().alias("revenue"))
@@ -93,11 +119,9 @@ def drill(
     days = d.where(F.col("d_yearmonth") == yearmonth).select("d_datekey", "d_year")
     suppliers = s.where(F.col("s_city").isin(*s_cities)).select("s_suppkey", "s_city")
     customers = c.where(F.col("c_city").isin(*c_cities)).select("c_custkey", "c_city")
+    sides = [(suppliers, "s_suppkey", "lo_suppkey"), (customers, "c_custkey", "lo_custkey")]
     return (
-        _within(lo, days)
-        .join(days, F.col("lo_orderdate") == F.col("d_datekey"))
-        .join(replicate(suppliers, max_bytes), F.col("lo_suppkey") == F.col("s_suppkey"))
-        .join(replicate(customers, max_bytes), F.col("lo_custkey") == F.col("c_custkey"))
+        _reduced(_within(lo, days).join(days, F.col("lo_orderdate") == F.col("d_datekey")), sides, max_bytes)
         .groupBy("c_city", "s_city", "d_year")
         .agg(_revenue().alias("revenue"))
         .orderBy(F.col("d_year").asc(), F.col("revenue").desc())

@@ -121,6 +121,18 @@ def dup_lineitem(spark, sf_dir):
     return ops.duplicates(lines, ["l_orderkey", "l_linenumber"])
 
 
+@query
+def dup_songplay_natural_by_hash(spark, sf_dir):
+    """The same in two phases: hashes first, keys of repeated hashes after."""
+    fact = materialize(songplay_fact(spark, sf_dir), "fact")
+    return ops.duplicates_by_hash(fact, ["start_time", "user_id", "session_id"])
+
+
+@query
+def dup_catalogue_name_by_hash(spark, sf_dir):
+    return ops.duplicates_by_hash(standins.staging_songs(spark, sf_dir), ["artist_name", "title"])
+
+
 @query
 def duplicate_report(spark, sf_dir):
     catalogue = standins.staging_songs(spark, sf_dir)
@@ -199,27 +211,18 @@ def length_report(spark, sf_dir):
 
 # --- sources and sinks -----------------------------------------------------------
 
-# Where the written logs hold each staging_events column, in column order.
-LOG_PATHS = [
-    "$.artist",
-    "$.auth",
-    "$.user.firstName",
-    "$.user.gender",
-    "$['session']['item']",
-    "$.user.lastName",
-    "$.length",
-    "$.level",
-    "$.location",
-    "$.request[0]",
-    "$.page",
-    "$.user.registration",
-    "$.session.id",
-    "$.song",
-    "$.request[1]",
-    "$.ts",
-    "$.userAgent",
-    "$.userId",
-]
+# Where the written logs hold staging_events columns; the others lie on top.
+NESTED = {
+    "firstName": "$.user.firstName",
+    "gender": "$.user.gender",
+    "itemInSession": "$['session']['item']",
+    "lastName": "$.user.lastName",
+    "method": "$.request[0]",
+    "registration": "$.user.registration",
+    "sessionId": "$.session.id",
+    "status": "$.request[1]",
+}
+LOG_PATHS = [NESTED.get(c, f"$.{c}") for c in schemas.EVENTS.names]
 
 
 def _log_line(user_id) -> F.Column:
@@ -375,6 +378,116 @@ def etl_report(spark, sf_dir):
     )
 
 
+@query
+def etl_load_figures(spark, sf_dir):
+    """The whole run again; rows, NULLs and overlong texts as its writes counted them."""
+    db = scratch_namespace("figures")
+    return plans.run_counted(
+        spark,
+        plans.RunConfig(
+            db=db,
+            events=_write_logs(spark, sf_dir),
+            songs=_write_catalogue(spark, sf_dir),
+            json_paths=LOG_PATHS,
+            location=scratch_path(spark, db),
+        ),
+    )
+
+
+# Declared bytes under which texts of ``documents`` fit, or do not.
+DOCUMENT_LENGTHS = {"text": schemas.DEFAULT_TEXT_BYTES, "lang": 2, "source": 4}
+
+
+@query
+def overlong_load(spark, sf_dir):
+    """A text column of ``documents`` at a time, loaded under a declared length: an
+    overlong value fails the load and leaves nothing behind."""
+    db = _database(spark, "lengths")
+    outcome = []
+    for name, most in DOCUMENT_LENGTHS.items():
+        rows = standins.source(spark, sf_dir, "documents").select(name)
+        sources.create_tables(spark, db, {name: schemas.readable(rows.schema)})
+        try:
+            sources.insert_into(
+                rows, f"{db}.{name}", lengths={name: most}, refuse_overlong=True
+            )
+            refused = False
+        except Exception as error:
+            if f"value too long for column {name}" not in str(error):
+                raise
+            refused = True
+        outcome.append((name, most, refused, spark.table(f"{db}.{name}").count()))
+    return spark.createDataFrame(
+        outcome, "column_name string, allowed int, refused boolean, row_count long"
+    )
+
+
+@query
+def load_diagnosis(spark, sf_dir):
+    """Logs in which some lines are cut off and some hold a value that does not fit:
+    the lines a load refuses, by column and kind of reason."""
+    path = scratch_path(spark, "bad-logs")
+    item, line = F.col("itemInSession"), _log_line(F.col("userId"))
+    wrong = _log_line(F.concat(F.lit("user "), F.col("sessionId")))
+    text = (
+        F.when(item % 50 == 7, F.expr("substr(line, 1, length(line) - 9)"))
+        .when(item % 50 == 9, wrong)
+        .otherwise(F.col("line"))
+    )
+    events = standins.staging_events(spark, sf_dir).withColumn("line", line)
+    events.select(text.alias("value")).write.text(path)
+    schema = schemas.widen_ids(schemas.EVENTS)
+    return sources.by_reason(sources.bad_json_lines(spark, path, LOG_PATHS, schema))
+
+
+def _two_appends(spark, sf_dir, name, first, second):
+    db = _database(spark, "appends")
+    sources.reset(spark, db, {name: schemas.STAR[name]})
+    for versions in (first, second):
+        plans.merge_dimension(spark, db, name, versions)
+    return spark.table(f"{db}.{name}")
+
+
+@query
+def users_two_appends(spark, sf_dir):
+    """The later half of the log first, then the rest: the same users as from one load."""
+    versions = ops.user_versions(standins.activity(spark, sf_dir))
+    early = (F.col("ts") % 3 == 0) | F.col("ts").isNull()
+    return _two_appends(spark, sf_dir, "users", versions.where(~early), versions.where(early))
+
+
+@query
+def artists_two_appends(spark, sf_dir):
+    versions = ops.artist_versions(standins.staging_songs(spark, sf_dir))
+    some = F.coalesce(F.col("year") % 2 == 0, F.lit(False))
+    return _two_appends(spark, sf_dir, "artists", versions.where(some), versions.where(~some))
+
+
+@query
+def offending_keys(spark, sf_dir):
+    """The star filled, users and songs twice: the keys that repeat."""
+    db = _database(spark, "offending")
+    sources.reset(spark, db, schemas.STAR)
+    catalogue = standins.staging_songs(spark, sf_dir)
+    star = {
+        "songplay": ops.with_identity(songplay_fact(spark, sf_dir), "songplay_id"),
+        "users": users_latest(spark, sf_dir),
+        "songs": ops.songs(catalogue),
+        "artists": ops.artists(catalogue),
+    }
+    for name in [*star, "users", "songs"]:
+        sources.insert_into(star[name], f"{db}.{name}")
+    sources.insert_into(ops.time_dim(spark.table(f"{db}.songplay")), f"{db}.time")
+    return plans.offending_keys(spark, db)
+
+
+@query
+def lineitem_keyed_in_place(spark, sf_dir):
+    """Dense keys of every line, given where the rows lie: nothing is shuffled."""
+    lines = standins.source(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return ops.with_dense_id_in_place(lines, "line_id").select("line_id")
+
+
 # --- star schema benchmark and layouts -------------------------------------------
 
 SSB_QUERIES = {
@@ -415,6 +528,62 @@ def ssb_same_dist(spark, sf_dir):
     return SSB_QUERIES["same_dist"](standins.ssb(spark, sf_dir))
 
 
+@query
+def ssb_two_dim_filtered(spark, sf_dir):
+    """Nothing is broadcast but Bloom filters of the dimensions' keys."""
+    t = standins.ssb(spark, sf_dir)
+    return plans.two_dim(
+        t["lineorder"], t["dwdate"], t["part"], t["supplier"], SSB_CATEGORY, SSB_REGION, max_bytes=0
+    )
+
+
+@query
+def ssb_drill_filtered(spark, sf_dir):
+    t = standins.ssb(spark, sf_dir)
+    return plans.drill(
+        t["lineorder"],
+        t["customer"],
+        t["supplier"],
+        t["dwdate"],
+        SSB_CUSTOMER_CITIES,
+        SSB_SUPPLIER_CITIES,
+        SSB_YEARMONTH,
+        max_bytes=0,
+    )
+
+
+# The part that lines of unknown part are booked on: a third of all lines.
+UNKNOWN_PART = -1
+
+
+@query
+def layout_hybrid_join(spark, sf_dir):
+    """Lines and parts bucketed on the part key, returned lines booked on one part: its
+    bucket is joined by broadcast, all others bucket by bucket."""
+    db = _database(spark, "hybrid")
+    key = F.when(F.col("l_returnflag") == "R", UNKNOWN_PART).otherwise(F.col("l_partkey"))
+    lines = standins.source(spark, sf_dir, "lineitem").select(
+        key.cast("long").alias("l_partkey"), "l_quantity", "l_returnflag"
+    )
+    parts = standins.source(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("long").alias("p_partkey"), "p_brand"
+    )
+    parts = parts.unionByName(
+        spark.range(1).select(F.lit(UNKNOWN_PART).cast("long").alias("p_partkey"), F.lit("unknown").alias("p_brand"))
+    )
+    by_part = {
+        "part": layout.Layout(bucket="p_partkey", sort="p_partkey"),
+        "lines": layout.Layout(bucket="l_partkey"),
+    }
+    layout.load_layout(spark, db, {"part": parts, "lines": lines}, by_part, buckets=HOT_BUCKETS)
+    joined = layout.hybrid_join(
+        spark, f"{db}.lines", f"{db}.part", "l_partkey", "p_partkey", ["l_quantity"], ["p_brand"]
+    )
+    return joined.groupBy("p_brand").agg(
+        F.count("*").alias("line_count"), F.sum(F.col("l_quantity").cast("long")).alias("quantity")
+    )
+
+
 @query
 def layout_bucketed_join(spark, sf_dir):
     """The part query on tables bucketed by part key: no shuffle for the join."""
@@ -492,6 +661,21 @@ def layout_gain(spark, sf_dir):
     )
 
 
+@query
+def paired_gains(spark, sf_dir):
+    """The arithmetic of paired comparisons over given pairs: of each supplier's lines,
+    the price and the price less discount plus tax."""
+    price = F.col("l_extendedprice")
+    lines = standins.source(spark, sf_dir, "lineitem").select(
+        "l_suppkey",
+        price.alias("list_price"),
+        (price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("charge"),
+    )
+    found = ops.paired_gain(lines, "l_suppkey", "list_price", "charge")
+    rounded = ["median_gain", "least_gain", "most_gain", "p_value"]
+    return found.withColumns({c: F.round(c, 6) for c in rounded})
+
+
 # --- reports ---------------------------------------------------------------------
 
 

@@ -1,4 +1,6 @@
 from starloom.sources.delimited import read_delimited
+from starloom.sources.diagnose import bad_delimited_lines, bad_json_lines, by_reason
+from starloom.sources.figures import LoadFigures, within_lengths
 from starloom.sources.json_files import load_json_paths, read_json_auto, read_json_paths
 from starloom.sources.manifest import source_manifest
 from starloom.sources.tables import (
@@ -14,7 +16,11 @@ from starloom.sources.tables import (
 )
 
 __all__ = [
+    "LoadFigures",
     "LoadSpec",
+    "bad_delimited_lines",
+    "bad_json_lines",
+    "by_reason",
     "create_tables",
     "drop_tables",
     "insert_into",
@@ -28,4 +34,5 @@ __all__ = [
     "reset",
     "source_manifest",
     "use",
+    "within_lengths",
 ]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom import schemas
 from starloom.functions.temporal import date_key
 
 
@@ -50,13 +51,6 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-EVENT_COLUMNS = [
-    "artist", "auth", "firstName", "gender", "itemInSession", "lastName", "length",
-    "level", "location", "method", "page", "registration", "sessionId", "song",
-    "status", "ts", "userAgent", "userId",
-]
-
-
 def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 18 columns; artist, song and length come from the part."""
     part = source(spark, sf_dir, "part").select(
@@ -65,7 +59,7 @@ def staging_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("song"),
         F.col("p_retailprice").alias("length"),
     )
-    return activity(spark, sf_dir).join(part, "_part", "left").select(EVENT_COLUMNS)
+    return activity(spark, sf_dir).join(part, "_part", "left").select(schemas.EVENTS.names)
 
 
 def staging_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
