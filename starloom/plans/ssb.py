@@ -52,7 +52,8 @@ def _reduced(
     max_bytes: int,
     max_words: int = MAX_WORDS,
 ) -> DataFrame:
-    """``lo`` joined with each (side, its key, the key in ``lo``).
+    """``lo`` joined with each (side, its key, the key in ``lo``). Sides beyond
+    ``max_bytes`` are filtered for first, by filters of at most ``max_words`` words.
 
     All filters come before the first shuffle, so that is of lines with a partner on
     every side.
@@ -91,6 +92,7 @@ def two_dim(
     category: str = CATEGORY,
     region: str = REGION,
     max_bytes: int = REPLICATE_BYTES,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """Revenue by year and brand, for one category and one supplier region."""
     parts = p.where(F.col("p_category") == category).select("p_partkey", "p_brand1")
@@ -98,7 +100,7 @@ def two_dim(
     days = d.select("d_datekey", "d_year")
     sides = [(parts, "p_partkey", "lo_partkey"), (suppliers, "s_suppkey", "lo_suppkey")]
     return (
-        _reduced(lo, sides, max_bytes)
+        _reduced(lo, sides, max_bytes, max_words)
         .join(days, F.col("lo_orderdate") == F.col("d_datekey"))
         .groupBy("d_year", "p_brand1")
         .agg(_revenue().alias("revenue"))
@@ -114,6 +116,7 @@ def drill(
     s_cities: Sequence[str] = CITIES,
     yearmonth: str = YEARMONTH,
     max_bytes: int = REPLICATE_BYTES,
+    max_words: int = MAX_WORDS,
 ) -> DataFrame:
     """Revenue by customer city, supplier city and year within one month."""
     days = d.where(F.col("d_yearmonth") == yearmonth).select("d_datekey", "d_year")
@@ -121,7 +124,7 @@ def drill(
     customers = c.where(F.col("c_city").isin(*c_cities)).select("c_custkey", "c_city")
     sides = [(suppliers, "s_suppkey", "lo_suppkey"), (customers, "c_custkey", "lo_custkey")]
     return (
-        _reduced(_within(lo, days).join(days, F.col("lo_orderdate") == F.col("d_datekey")), sides, max_bytes)
+        _reduced(_within(lo, days).join(days, F.col("lo_orderdate") == F.col("d_datekey")), sides, max_bytes, max_words)
         .groupBy("c_city", "s_city", "d_year")
         .agg(_revenue().alias("revenue"))
         .orderBy(F.col("d_year").asc(), F.col("revenue").desc())

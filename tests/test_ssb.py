@@ -118,12 +118,16 @@ def test_int_money_does_not_overflow(spark):
 
 def test_small_dimensions_are_broadcast_large_ones_shuffled(ssb, spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    tables = ssb["lo"], ssb["d"], ssb["p"], ssb["s"]
     try:
-        small = plan_of(plans.two_dim(ssb["lo"], ssb["d"], ssb["p"], ssb["s"]))
-        large = plan_of(plans.two_dim(ssb["lo"], ssb["d"], ssb["p"], ssb["s"], max_bytes=0))
+        small = plan_of(plans.two_dim(*tables))
+        large = plan_of(plans.two_dim(*tables, max_bytes=0, max_words=0))
+        filtered = plan_of(plans.two_dim(*tables, max_bytes=0))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
     assert (small.count("BroadcastHashJoin"), large.count("BroadcastHashJoin")) == (2, 0)
+    # The filters are broadcast, the dimensions are not.
+    assert filtered.count("BroadcastHashJoin [_word") == filtered.count("BroadcastHashJoin") == 2
 
 
 def test_city_filters_reach_the_scans(ssb, tmp_path, spark):
