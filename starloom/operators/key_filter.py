@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BITS_PER_KEY = 16
 # Most words a filter may have: 16 bytes each, some four times that as a hash table.
@@ -40,7 +41,7 @@ class KeyFilter:
         size = 64 * max(16, -(-keys * bits_per_key // 64))
         if size // 64 > max_words:
             return None
-        word, bit = cls._place(F.col(key), size)
+        word, bit = cls._place(df, key, size)
         words = (
             df.where(F.col(key).isNotNull())
             .select(word.alias("_word"), bit.alias("_bit"))
@@ -50,13 +51,15 @@ class KeyFilter:
         return cls(words, size)
 
     @staticmethod
-    def _place(key: Column, size: int) -> tuple[Column, Column]:
-        hashed = F.pmod(F.xxhash64(key.cast("long")), F.lit(size))
+    def _place(df: DataFrame, key: str, size: int) -> tuple[Column, Column]:
+        """Integers of any width hash alike; other keys must have one type on both sides."""
+        whole = isinstance(df.schema[key].dataType, T.IntegralType)
+        hashed = F.pmod(F.xxhash64(F.col(key).cast("long") if whole else F.col(key)), F.lit(size))
         return F.shiftright(hashed, 6), hashed.bitwiseAND(F.lit(63)).cast("int")
 
     def apply(self, df: DataFrame, key: str) -> DataFrame:
         """The rows of ``df`` whose key may be among the filter's."""
-        word, bit = self._place(F.col(key), self.size)
+        word, bit = self._place(df, key, self.size)
         tested = df.withColumns({"_word": word, "_bit": bit})
         return (
             tested.join(F.broadcast(self.words), "_word")

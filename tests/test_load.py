@@ -201,6 +201,9 @@ def test_key_filter_keeps_every_partner(spark):
     partners = set(range(0, 3000, 3))
     assert partners <= passed and len(passed - partners) < 0.09 * 60_000
     assert KeyFilter.of(keys, "k", max_words=20) is None
+    named = keys.selectExpr("concat('n', k) AS k")
+    kept = KeyFilter.of(named, "k").apply(spark.range(9000).selectExpr("concat('n', id) AS id"), "id")
+    assert 1000 <= kept.count() < 2000
     none = KeyFilter.of(keys.limit(0), "k")
     assert none.apply(spark.range(10), "id").count() == 0
 
