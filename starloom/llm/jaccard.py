@@ -8,22 +8,25 @@
    shared token. Nodes of at most ``LEAF`` sets are not split further; deeper than
    ``DEPTH`` none is. Runs repeat until a pair at the threshold is met in one of them
    with probability ``RECALL``.
-3. Leaves are compared by brute force, larger ones in pairs of blocks. The min-hashes
-   rule out pairs far below the threshold; the rest are verified over the exact sets,
-   each pair in one leaf only. Links are counted and joined to stars there, so no row
-   per pair leaves a task.
+3. Each set goes to its leaves with the sorted list of them, and a pair is judged in the
+   smallest leaf that both lists hold: once, whatever number of runs it met in. Leaves
+   are compared by brute force, large ones in pairs of blocks, bounded in sets and in
+   tokens. The min-hashes rule out pairs far below the threshold. Texts are sent only to
+   leaves where a candidate is left, and there the rest are verified over the exact sets.
+   Links are counted and joined to stars there: no pair and no list of partners leaves a
+   task.
 4. Groups are the connected components of the stars.
 
 Words are runs of anything but ASCII white space. NULL counts as the empty text;
 texts without words are one class without links to others. The result has a row for
-every row of the input, in no order, repeated rows and ids included.
+every row of the input, in no order, repeated rows and ids included. Very long texts are
+taken whole; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,7 +50,7 @@ THRESHOLD = 0.8
 COORDINATES = 128
 SLACK = 0.13  # how far the min-hash estimate may lie below the threshold
 LEAF = 64
-BLOCK = 256
+BLOCK = 1024  # sets
 BLOCK_TOKENS = 4_000_000
 DEPTH = 4
 RECALL = 0.9999
@@ -190,12 +193,9 @@ def brief(sketches: Column) -> Column:
 # --- leaves ----------------------------------------------------------------------
 
 
-def leaves(sets: DataFrame, runs: int, leaf: int, depth: int, block: int) -> DataFrame:
-    """(bucket, rep, side): the sets to be compared in each bucket.
-
-    A bucket is a leaf, or a pair of blocks of a large one; of a pair of different
-    blocks only rows of side 0 are compared with rows of side 1.
-    """
+def leaves(sets: DataFrame, runs: int, leaf: int, depth: int) -> tuple[DataFrame, DataFrame]:
+    """(rep, leaves), the sorted leaves of each set that shares one; (node, size) of all
+    leaves. ``sets``: rep, sketch."""
     level = sets.select("rep", F.explode(first_nodes(F.col("sketch"), runs)).alias("node"))
     parts, held = [], sets
     for at in range(1, depth + 1):
@@ -219,7 +219,32 @@ def leaves(sets: DataFrame, runs: int, leaf: int, depth: int, block: int) -> Dat
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
-    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    # A set has a few leaves per run at most.
+    lists = found.groupBy("rep").agg(F.sort_array(F.collect_set("node")).alias("leaves"))
+    return materialize(lists, "leaves"), found.select("node", "size").distinct()
+
+
+def block_counts(lists: DataFrame, sizes: DataFrame, lengths: DataFrame, block: int, block_tokens: int) -> DataFrame:
+    """(node, blocks) of the leaves that one block does not hold.
+
+    Tokens are summed only where so many of the longest set could exceed a block.
+    """
+    longest = lengths.agg(F.max("n")).first()[0] or 0
+    large = materialize(sizes.filter((F.col("size") > block) | (F.col("size") * longest > block_tokens)), "large-leaves")
+    if not large.take(1):
+        return large.select("node", F.lit(1).alias("blocks"))
+    inside = lists.select("rep", F.explode("leaves").alias("node")).join(replicate(large), "node")
+    held = inside.join(lengths, "rep").groupBy("node").agg(F.first("size").alias("size"), F.sum("n").alias("tokens"))
+    blocks = F.greatest(F.ceil(F.col("size") / F.lit(block)), F.ceil(F.col("tokens") / F.lit(block_tokens)))
+    return materialize(held.select("node", blocks.cast("int").alias("blocks")).filter("blocks > 1"), "blocks")
+
+
+def in_buckets(members: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``members`` (rep, brief, leaves) in the buckets they are compared in: a leaf, or a
+    pair of blocks of a large one; of a pair of different blocks only rows of side 0 are
+    compared with rows of side 1."""
+    each = members.select("*", F.explode("leaves").alias("node")).join(replicate(blocks), "node", "left")
+    each = each.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("rep", "node"), F.col("blocks")).cast("int")
     pairs = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
@@ -229,11 +254,14 @@ def leaves(sets: DataFrame, runs: int, leaf: int, depth: int, block: int) -> Dat
             (F.col("own") > other).cast("int").alias("side"),
         ),
     )
-    return (
-        found.withColumn("blocks", blocks)
-        .withColumn("own", own)
-        .select("node", "rep", F.inline(pairs))
-        .select(F.xxhash64("node", "i", "j").alias("bucket"), "rep", "side", (F.col("i") != F.col("j")).alias("two"))
+    return each.withColumn("own", own).select("node", "rep", "brief", "leaves", F.inline(pairs)).select(
+        F.xxhash64("node", "i", "j").alias("bucket"),
+        "node",
+        "rep",
+        "side",
+        (F.col("i") != F.col("j")).alias("two"),
+        "brief",
+        "leaves",
     )
 
 
@@ -264,76 +292,49 @@ def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[np.n
         yield emit(held)
 
 
-CANDIDATE_SCHEMA = "rep long, bucket long, partners array<long>"
-
-
-def candidates(in_leaves: DataFrame, least: float) -> DataFrame:
-    """Per bucket and set, its partners whose estimated similarity is ``least`` or more."""
+def to_judge(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Of one bucket: its rows, each set once, and which pairs of them are to be judged
+    here: estimated at ``least`` or more, and sharing no smaller leaf."""
+    reps, at = np.unique(table.column("rep").to_numpy(), return_index=True)
+    n, node = len(reps), table.column("node")[0].as_py()
+    rows = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.uint8).reshape(-1, COORDINATES)[at]
+    near = np.zeros((n, n), dtype=bool)
+    need = math.ceil(least * COORDINATES)
+    for k in range(n):
+        near[k] = np.count_nonzero(rows == rows[k], axis=1) >= need
+    np.fill_diagonal(near, False)
+    if table.column("two")[0].as_py():
+        side = table.column("side").to_numpy()[at]
+        near &= side[:, None] != side[None, :]
+    if near.any():
+        lists = table.column("leaves").combine_chunks()
+        ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+        owner, smaller = [], []
+        for k, row in enumerate(at):
+            own = values[ends[row] : ends[row + 1]]
+            own = own[own < node]
+            owner.append(np.full(len(own), k))
+            smaller.append(own)
+        if owner := np.concatenate(owner).tolist():
+            _, column = np.unique(np.concatenate(smaller), return_inverse=True)
+            met = np.zeros((n, column.max() + 1), dtype=np.float32)
+            met[owner, column] = 1
+            near &= met @ met.T == 0
+    return at, near
+
+
+def candidates(bucketed: DataFrame, least: float) -> DataFrame:
+    """The rows of ``in_buckets`` that have a partner to be judged with in their bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, list[int]]] = []
-        for bucket, table in _buckets(batches):
-            reps = table.column("rep").to_numpy()
-            # A set met twice in a bucket is one.
-            reps, at = np.unique(reps, return_index=True)
-            if len(reps) < 2:
-                continue
-            rows = np.frombuffer(b"".join(table.column("brief").to_pylist()), np.uint8)
-            rows = rows.reshape(-1, COORDINATES)[at]
-            side = table.column("side").to_numpy()[at]
-            two = table.column("two")[0].as_py()
-            need = math.ceil(least * COORDINATES)
-            for k in range(len(reps)):
-                near = (rows == rows[k]).sum(axis=1) >= need
-                near[k] = False
-                if two:
-                    near &= side != side[k]
-                if near.any():
-                    out.append((int(reps[k]), bucket, reps[near].tolist()))
-            if len(out) >= 2000:
-                yield _candidate_batch(out)
-                out = []
-        if out:
-            yield _candidate_batch(out)
-
-    return (
-        in_leaves.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, CANDIDATE_SCHEMA)
-    )
-
-
-def _candidate_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = [list(c) for c in zip(*rows)]
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["rep", "bucket", "partners"]
-    )
-
-
-def once(found: Column) -> Column:
-    """Of the buckets a set was met in, partners kept in the smallest common one."""
-    kind = T.ArrayType(
-        T.StructType(
-            [T.StructField("bucket", T.LongType()), T.StructField("partners", T.ArrayType(T.LongType()))]
-        )
-    )
-
-    @F.arrow_udf(kind)
-    def kept(column: pa.Array) -> pa.Array:
-        out = []
-        for met in column.to_pylist():
-            place: dict[int, int] = {}
-            for entry in sorted(met, key=lambda e: e["bucket"]):
-                for partner in entry["partners"]:
-                    place.setdefault(partner, entry["bucket"])
-            by_bucket = defaultdict(list)
-            for partner, bucket in place.items():
-                by_bucket[bucket].append(partner)
-            out.append([{"bucket": b, "partners": p} for b, p in by_bucket.items()])
-        return pa.array(
-            out, pa.list_(pa.struct([("bucket", pa.int64()), ("partners", pa.list_(pa.int64()))]))
-        )
+        for _, table in _buckets(batches):
+            if table.num_rows > 1:
+                at, near = to_judge(table, least)
+                left = np.sort(at[near.any(axis=1)])
+                if len(left):
+                    yield from table.take(pa.array(left)).to_batches()
 
-    return kept(found)
+    return bucketed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, bucketed.schema)
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -356,21 +357,40 @@ def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return total
 
 
+def common_tokens(sets: list[np.ndarray], pairs: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of the given pairs: one by one if they are few, else
+    from the product over all."""
+    if 20 * len(pairs[0]) < len(sets) ** 2:
+        sizes = [len(np.intersect1d(sets[i], sets[j], assume_unique=True)) for i, j in zip(*pairs)]
+        return np.array(sizes, dtype=np.float64)
+    return overlaps(sets)[pairs]
+
+
 LINK_SCHEMA = "rep long, root long, links long"
 
 
-def verified(assigned: DataFrame, threshold: float) -> DataFrame:
+def verified(active: DataFrame, threshold: float, least: float, words: int) -> DataFrame:
     """Per bucket and set: the smallest set it is joined with there, and its number of
-    linked documents. ``assigned``: bucket, rep, partners, tokens, copies."""
+    linked documents. ``active``: rows of ``candidates`` with text and copies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[int, int, int]] = []
         for _, table in _buckets(batches):
-            reps = table.column("rep").to_pylist()
-            sets = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
-            copies = table.column("copies").to_pylist()
-            place = {r: k for k, r in enumerate(reps)}
-            common = overlaps(sets)
+            at, near = to_judge(table, least)
+            reps = table.column("rep").to_numpy()[at]
+            copies = table.column("copies").to_numpy()[at]
+            texts = table.column("text").to_pylist()
+            sets = [shingles(texts[i].encode("utf-8"), words) for i in at]
+            sizes = np.array([len(s) for s in sets], dtype=np.float64)
+            i, j = np.nonzero(np.triu(near))
+            if not len(i):
+                continue
+            common = common_tokens(sets, (i, j))
+            linked = common >= threshold * (sizes[i] + sizes[j] - common) - 1e-9
+            i, j = i[linked], j[linked]
+            links = np.zeros(len(reps), dtype=np.int64)
+            np.add.at(links, i, copies[j])
+            np.add.at(links, j, copies[i])
             root = list(range(len(reps)))
 
             def find(x, root=root):
@@ -379,27 +399,19 @@ def verified(assigned: DataFrame, threshold: float) -> DataFrame:
                     x = root[x]
                 return x
 
-            links = [0] * len(reps)
-            for k, partners in enumerate(table.column("partners").to_pylist()):
-                for partner in partners:
-                    j = place[partner]
-                    union = len(sets[k]) + len(sets[j]) - common[k, j]
-                    if common[k, j] >= threshold * union - 1e-9:
-                        links[k] += copies[j]
-                        a, b = find(k), find(j)
-                        if reps[a] > reps[b]:
-                            a, b = b, a
-                        root[b] = a
-            for k, rep in enumerate(reps):
-                if links[k]:
-                    out.append((rep, reps[find(k)], links[k]))
+            # Rows are in order of rep, so the smaller number is the smaller rep.
+            for a, b in zip(i.tolist(), j.tolist()):
+                a, b = find(a), find(b)
+                if a != b:
+                    root[max(a, b)] = min(a, b)
+            out += [(int(reps[k]), int(reps[find(k)]), int(links[k])) for k in np.flatnonzero(links)]
             if len(out) >= 2000:
                 yield _link_batch(out)
                 out = []
         if out:
             yield _link_batch(out)
 
-    return assigned.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, LINK_SCHEMA)
+    return active.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, LINK_SCHEMA)
 
 
 def _link_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -460,60 +472,46 @@ def near_duplicates(
     id of its class of equal sets), group (a number of the group, of this run), n_links (other documents at the threshold or above).
     """
     text = text_or_empty(text_col)
+    least = threshold - SLACK
     slim = materialize(
         docs.select(
             F.col(f"`{id_col}`").alias("doc_id"),
             F.unhex(F.md5(text)).alias("text_md5"),
             sketch(text, words).alias("s"),
-        ).select("doc_id", "text_md5", "s.*"),
+        ).select("doc_id", "text_md5", "s.*", F.monotonically_increasing_id().alias("row")),
         "sketches",
     )
+    # Sketches stay where they are: only digests are shuffled to find equal sets.
     classes = materialize(
         slim.groupBy("set")
         .agg(
             F.min("doc_id").alias("copy_id"),
             F.count("*").alias("copies"),
-            F.min("text_md5").alias("text_md5"),
-            F.min("n").alias("n"),
-            F.min("sketch").alias("sketch"),
+            F.min(F.struct("row", "text_md5", "n")).alias("first"),
         )
-        .withColumn("rep", F.monotonically_increasing_id()),
+        .select("set", "copy_id", "copies", F.col("first.row").alias("rep"), "first.text_md5", "first.n"),
         "classes",
     )
-    sets = classes.filter("n > 0").select("rep", "sketch")
-    in_leaves = materialize(
-        leaves(sets, runs_for(recall, threshold, depth), leaf, depth, block), "leaves"
-    )
-    briefs = sets.select("rep", brief(F.col("sketch")).alias("brief"))
-    met = materialize(
-        candidates(in_leaves.join(briefs, "rep").select("bucket", "rep", "side", "two", "brief"),
-                   threshold - SLACK),
-        "candidates",
+    again = classes.filter("copies > 1").select("set", F.col("rep").alias("chosen"))
+    sets = (
+        slim.filter("n > 0")
+        .join(replicate(again), "set", "left")
+        .filter("chosen is null or chosen = row")
+        .select(F.col("row").alias("rep"), "sketch")
     )
-    assigned = materialize(
-        met.groupBy("rep")
-        .agg(F.collect_list(F.struct("bucket", "partners")).alias("met"))
-        .select("rep", F.inline(once(F.col("met")))),
-        "assigned",
-    )
-    wanted = classes.join(assigned.select("rep").distinct(), "rep", "left_semi")
+    lists, sizes = leaves(sets, runs_for(recall, threshold, depth), leaf, depth)
+    blocks = block_counts(lists, sizes, classes.select("rep", "n"), block, BLOCK_TOKENS)
+    members = sets.join(replicate(lists), "rep").select("rep", "leaves", brief(F.col("sketch")).alias("brief"))
+    active = materialize(candidates(in_buckets(members, blocks), least), "candidates")
+    wanted = classes.join(active.select("rep").distinct(), "rep", "left_semi")
     wanted = materialize(wanted.select("rep", "copies", "text_md5"), "wanted")
     texts = docs.select(F.unhex(F.md5(text)).alias("text_md5"), text.alias("text")).join(
         replicate(wanted), "text_md5"
     )
     # Copies combine map-side: one text per class and map task is shuffled.
-    tokens = (
-        texts.groupBy("rep")
-        .agg(F.min("copies").alias("copies"), F.min("text").alias("text"))
-        .select("rep", "copies", token_set(F.col("text"), words).alias("tokens"))
-    )
-    linked = materialize(
-        verified(
-            assigned.join(tokens, "rep").select("bucket", "rep", "partners", "tokens", "copies"),
-            threshold,
-        ),
-        "links",
-    )
+    texts = texts.groupBy("rep").agg(F.min("copies").alias("copies"), F.min("text").alias("text"))
+    judged = active.join(texts, "rep").select(*active.columns, "copies", "text")
+    linked = materialize(verified(judged, threshold, least, words), "links")
     labels = components(linked.select("rep", "root"))
     near = linked.groupBy("rep").agg(F.sum("links").alias("links"))
     # Smallest ids are written before the join, so that the rows of a hot group can be
