@@ -9,6 +9,19 @@ All but the last return the columns of documents. ``n_chars`` follows the text.
 3. near duplicates: one document of each group stays.
 4. decontamination: contaminated documents go.
 5. tokens: each text as token ids, with the digest of what they decode to.
+
+Defined cases, per stage:
+
+- NULL and empty texts have no words: the quality rules reject them. Where a stage gets
+  one all the same, line dedup leaves it, near duplicates keeps one of all texts without
+  words, decontamination keeps it, tokens gives it no ids.
+- NULL ids: line dedup counts them last among occurrences, near duplicates prefers rows
+  with an id; otherwise they are ids like others.
+- Ties: of equal documents the smallest id stays, then the smallest digest of the text.
+- Repeated rows: rows equal in id and text get the same verdict, lose the same lines, and
+  one of them is left behind near duplicates.
+- Very long texts are taken whole. Empty tables pass through. Extra columns are kept up
+  to the last stage, whatever they are called.
 """
 
 from __future__ import annotations
