@@ -9,8 +9,9 @@ what JSON demands.
 
 The result has one row per call and per result that links to none. Nothing is
 gathered by conversation, so a conversation with a third of all turns is no task.
-Levels come from rounds over the references still open; their number is that of the
-longest chain of references.
+A conversation of up to ``TASK_REFERENCES`` references is ordered in one task; a longer
+one by joins: chains by pointer jumping, and what is nested by counters of open
+references, in which each reference is joined once.
 
 Equal rows count once. Of calls with one id in a conversation the first by turn and
 position is the call, the others get status "repeated_call"; of its results the first
@@ -18,19 +19,26 @@ behind it is linked, the others get "repeated_result". A result without its call
 "orphan_result", a call without result "no_result". References to unknown ids are
 errors and do not order; calls in or behind a circle of references have no level and
 status "circular". NULL ids match nothing; NULL arguments count as invalid JSON, and
-so do numbers beyond the range of doubles and halves of surrogate pairs.
+so do numbers beyond the range of doubles and halves of surrogate pairs. Texts of any
+length and depth are taken whole; JSON nested beyond what the parser takes is invalid.
+1.0 is an integer, as in JSON Schema, and true is no number. Extra columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from starloom.llm.common import materialize
+from starloom.llm.common import materialize, replicate
+from starloom.session import scratch_path
+
+TASK_REFERENCES = 200_000
 
 CHECKED = T.StructType(
     [
@@ -50,6 +58,8 @@ _TYPES = {
 
 
 def of_type(value, name: str) -> bool:
+    if name == "integer" and isinstance(value, float):
+        return value.is_integer()
     if name == "integer":
         return isinstance(value, int) and not isinstance(value, bool)
     if name == "number":
@@ -57,13 +67,24 @@ def of_type(value, name: str) -> bool:
     return isinstance(value, _TYPES[name])
 
 
+def equal(a, b) -> bool:
+    """Equality of JSON values: true is not 1, at any depth."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(equal, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(equal(a[k], b[k]) for k in a)
+    return a == b
+
+
 def violations(value, schema: dict, path: str = "$") -> list[str]:
     """What of ``value`` breaks ``schema`` (type, enum, minimum, maximum, required,
     properties, additionalProperties, items)."""
     out = []
     if "type" in schema and not of_type(value, schema["type"]):
         return [f"{path}: not of type {schema['type']}"]
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(equal(value, other) for other in schema["enum"]):
         out.append(f"{path}: not in the list")
     # Limits bind numbers only.
     if "minimum" in schema and of_type(value, "number") and value < schema["minimum"]:
@@ -121,26 +142,178 @@ def checked(call_id: Column, name: Column, arguments: Column, result: Column, sc
     return run(call_id, name, arguments, result)
 
 
-def levels(nodes: DataFrame, references: DataFrame) -> DataFrame:
-    """conv_id, call_id, level of each node that no circle holds back.
+LEVEL = T.StructType([T.StructField("level", T.LongType())])
 
-    ``references``: conv_id, call_id, other (the id it waits for), known ids only.
+
+def topological(references: list[tuple], places: dict) -> list[int | None]:
+    """Levels of the calls numbered by ``places``, None where a circle holds one back.
+
+    ``references``: (call, other) by number; others without a number wait for nothing.
+    """
+    level: list[int | None] = [None] * len(places)
+    open_, high = [0] * len(places), [0] * len(places)
+    waiting: dict[int, list[int]] = {}
+    for call, other in references:
+        if other in places:
+            open_[places[call]] += 1
+            waiting.setdefault(places[other], []).append(places[call])
+    settled = [i for i, n in enumerate(open_) if not n]
+    for i in settled:
+        level[i] = 1
+    while settled:
+        behind = settled.pop()
+        for i in waiting.get(behind, ()):
+            high[i] = max(high[i], level[behind])
+            open_[i] -= 1
+            if not open_[i]:
+                level[i] = high[i] + 1
+                settled.append(i)
+    return level
+
+
+def _levels_in_tasks(references: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of conversations of bounded size, each in one task."""
+    schema = T.StructType([references.schema["conv_id"], references.schema["call_id"], *LEVEL])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: tuple[list, list, list] = ([], [], [])
+
+        def finish(conversation, pairs: list[tuple]) -> None:
+            places: dict = {}
+            for call, _ in pairs:
+                places.setdefault(call, len(places))
+            for call, level in zip(places, topological(pairs, places)):
+                for column, value in zip(out, (conversation, call, level)):
+                    column.append(value)
+
+        pairs: list[tuple] = []
+        conversation = None
+        for batch in batches:
+            for conv, call, other in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if pairs and conv != conversation:
+                    finish(conversation, pairs)
+                    pairs = []
+                conversation = conv
+                pairs.append((call, other))
+            if len(out[0]) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow)], schema=arrow)
+                out = ([], [], [])
+        if pairs:
+            finish(conversation, pairs)
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, arrow)], schema=arrow)
+
+    grouped = references.select("conv_id", "call_id", "other").repartition("conv_id")
+    return grouped.sortWithinPartitions("conv_id").mapInArrow(run, schema)
+
+
+def _levels_by_rounds(references: DataFrame) -> DataFrame:
+    """conv_id, call_id, level of conversations of any size, by joins.
+
+    Calls with one reference form chains, which pointer jumping resolves to the call at
+    their end in a logarithmic number of rounds; one that leads into a circle never
+    ends and is left out. Calls with several references then settle in rounds: newly
+    settled calls meet the references to them, each once, and lower the counters of the
+    calls that wait. Rounds follow the nesting of such calls, not the length of chains.
     """
     key = ["conv_id", "call_id"]
-    waiting = materialize(references.distinct(), "tool-references")
-    settled = materialize(nodes.join(waiting, key, "left_anti").select(*key), "tool-level")
-    out, level = settled.withColumn("level", F.lit(0)), 0
+    spark = references.sparkSession
+    degree = references.groupBy(*key).agg(F.count("*").alias("n"))
+    degree = materialize(degree, "tool-degrees")
+    counted = references.join(degree, key)
+    to = F.col("other").alias("to")
+    jumps = materialize(
+        counted.filter("n = 1").select(*key, to, F.lit(1).cast("long").alias("dist")), "tool-jumps"
+    )
+    longest = jumps.count()
+    reached = 1
+    while reached <= longest:
+        ahead = jumps.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("dist").alias("more"))
+        step = jumps.join(ahead, ["conv_id", "to"], "left").select(
+            *key,
+            F.coalesce("next", "to").alias("to"),
+            (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"),
+            F.col("next").isNotNull().alias("moved"),
+        )
+        step = materialize(step, "tool-jumps")
+        jumps = step.drop("moved")
+        reached *= 2
+        if not step.filter("moved").take(1):
+            break
+    inside = jumps.select("conv_id", F.col("call_id").alias("to"))
+    ended = materialize(jumps.join(inside, ["conv_id", "to"], "left_anti"), "tool-chains")
+
+    chained = ended.select("conv_id", F.col("call_id").alias("other"), "to", "dist")
+    branching = (
+        counted.filter("n > 1")
+        .join(chained, ["conv_id", "other"], "left")
+        .select(*key, F.coalesce("to", "other").alias("to"), F.coalesce("dist", F.lit(0)).alias("dist"))
+    )
+    branching = materialize(branching, "tool-branches")
+    waiting = materialize(
+        branching.groupBy(*key).agg(F.count("*").alias("left"), F.lit(0).cast("long").alias("high")), "tool-counters"
+    )
+    # Ids that wait for nothing: those referred to that refer to none themselves.
+    free = branching.select("conv_id", "to").unionByName(ended.select("conv_id", "to")).distinct()
+    free = free.join(degree.select("conv_id", F.col("call_id").alias("to")), ["conv_id", "to"], "left_anti")
+    path = scratch_path(spark, "tool-levels")
+    newly = free.select("conv_id", "to", F.lit(0).cast("long").alias("level"))
+    newly.write.mode("append").parquet(path)
+    newly = spark.read.schema(newly.schema).parquet(path)
+    schema = newly.schema
     while True:
-        done = settled.select("conv_id", F.col("call_id").alias("other"))
-        left = materialize(waiting.join(done, ["conv_id", "other"], "left_anti"), "tool-references")
-        settled = materialize(
-            waiting.select(*key).distinct().join(left, key, "left_anti").select(*key), "tool-level"
+        told = (
+            branching.join(newly, ["conv_id", "to"])
+            .groupBy(*key)
+            .agg(F.count("*").alias("met"), F.max(F.col("level") + F.col("dist")).alias("reach"))
         )
-        level += 1
-        if not settled.take(1):
-            return out
-        out = out.unionByName(settled.withColumn("level", F.lit(level)))
-        waiting = left
+        waiting = materialize(
+            waiting.join(told, key, "left").select(
+                *key,
+                (F.col("left") - F.coalesce("met", F.lit(0))).alias("left"),
+                F.greatest("high", F.coalesce("reach", F.lit(0))).alias("high"),
+            ),
+            "tool-counters",
+        )
+        done = waiting.filter(F.col("left") == 0)
+        newly = materialize(
+            done.select("conv_id", F.col("call_id").alias("to"), (F.col("high") + 1).alias("level")), "tool-settled"
+        )
+        waiting = waiting.filter(F.col("left") > 0)
+        if not newly.take(1):
+            break
+        newly.write.mode("append").parquet(path)
+    settled = spark.read.schema(schema).parquet(path)
+    of_chains = ended.join(settled, ["conv_id", "to"]).select(*key, (F.col("level") + F.col("dist")).alias("level"))
+    of_branches = settled.select("conv_id", F.col("to").alias("call_id"), "level").join(
+        degree.select(*key), key, "left_semi"
+    )
+    solved = of_chains.unionByName(of_branches)
+    return degree.select(*key).join(solved, key, "left")
+
+
+def levels(nodes: DataFrame, references: DataFrame, task_references: int = TASK_REFERENCES) -> DataFrame:
+    """conv_id, call_id, level of each node; NULL where a circle holds it back.
+
+    ``references``: conv_id, call_id, other (the id it waits for), known ids only.
+    Conversations of up to ``task_references`` references are ordered in a task each,
+    larger ones by rounds of joins; the result is the same.
+    """
+    key = ["conv_id", "call_id"]
+    waiting = materialize(references.distinct(), "tool-references")
+    # Few conversations are that long: their ids are at most references / task_references.
+    long = materialize(
+        waiting.groupBy("conv_id").agg(F.count("*").alias("n")).filter(F.col("n") > task_references).select("conv_id"),
+        "tool-long",
+    )
+    found = _levels_in_tasks(waiting.join(replicate(long), "conv_id", "left_anti"))
+    if long.take(1):
+        found = found.unionByName(_levels_by_rounds(waiting.join(replicate(long), "conv_id", "left_semi")))
+    found = found.withColumn("waits", F.lit(True))
+    return nodes.join(found, key, "left").select(
+        *key, F.when(F.col("waits"), F.col("level")).otherwise(F.lit(0)).alias("level")
+    )
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -181,7 +354,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> Data
     known = asked.join(ids, ["conv_id", "other"], "left_semi")
     unknown = asked.join(ids, ["conv_id", "other"], "left_anti")
     unknown = unknown.groupBy(*key).agg(F.sort_array(F.collect_set("other")).alias("unknown"))
-    ordered = levels(main.select(*key), known)
+    ordered = materialize(levels(main.select(*key), known), "tool-levels")
 
     linked = (
         main.join(answer.select(*key, "answer"), key, "left")
