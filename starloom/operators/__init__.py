@@ -4,6 +4,7 @@ from starloom.operators.keys import with_dense_id, with_dense_id_in_place, with_
 from starloom.operators.latest import latest_by
 from starloom.operators.quality import (
     duplicate_report,
+    duplicate_report_by_hash,
     duplicates,
     duplicates_by_hash,
     length_report,
@@ -28,6 +29,7 @@ __all__ = [
     "artists",
     "build_star",
     "duplicate_report",
+    "duplicate_report_by_hash",
     "duplicates",
     "duplicates_by_hash",
     "latest_by",

@@ -368,6 +368,17 @@ def oracle_sql() -> dict[str, str]:
                 ]
             ),
         ),
+        "duplicate_report_by_hash": _over(
+            star,
+            " UNION ALL ".join(
+                [
+                    *_STAR_CHECKS,
+                    _checked("songplay natural key", "fact", "start_time, user_id, session_id"),
+                    _checked("catalogue names", "staging_songs", "artist_name, title"),
+                    _checked("lineitem", "lineitem", "l_orderkey, l_linenumber"),
+                ]
+            ),
+        ),
         "null_report": _over(
             "users songs artists times tickets " + " ".join(_SSB.values()),
             " UNION ALL ".join(

@@ -133,25 +133,29 @@ def dup_catalogue_name_by_hash(spark, sf_dir):
     return ops.duplicates_by_hash(standins.staging_songs(spark, sf_dir), ["artist_name", "title"])
 
 
-@query
-def duplicate_report(spark, sf_dir):
+def _keyed_tables(spark, sf_dir):
     catalogue = standins.staging_songs(spark, sf_dir)
     fact = songplay_keyed(spark, sf_dir)
-    return ops.duplicate_report(
-        {
-            "songplay": (fact, ["songplay_id"]),
-            "songplay natural key": (fact, ["start_time", "user_id", "session_id"]),
-            "users": (users_latest(spark, sf_dir), ["user_id"]),
-            "songs": (ops.songs(catalogue), ["song_id"]),
-            "artists": (ops.artists(catalogue), ["artist_id"]),
-            "time": (ops.time_dim(fact), ["start_time"]),
-            "catalogue names": (catalogue, ["artist_name", "title"]),
-            "lineitem": (
-                standins.source(spark, sf_dir, "lineitem"),
-                ["l_orderkey", "l_linenumber"],
-            ),
-        }
-    )
+    return {
+        "songplay": (fact, ["songplay_id"]),
+        "songplay natural key": (fact, ["start_time", "user_id", "session_id"]),
+        "users": (users_latest(spark, sf_dir), ["user_id"]),
+        "songs": (ops.songs(catalogue), ["song_id"]),
+        "artists": (ops.artists(catalogue), ["artist_id"]),
+        "time": (ops.time_dim(fact), ["start_time"]),
+        "catalogue names": (catalogue, ["artist_name", "title"]),
+        "lineitem": (standins.source(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
+    }
+
+
+@query
+def duplicate_report(spark, sf_dir):
+    return ops.duplicate_report(_keyed_tables(spark, sf_dir))
+
+
+@query
+def duplicate_report_by_hash(spark, sf_dir):
+    return ops.duplicate_report_by_hash(_keyed_tables(spark, sf_dir))
 
 
 @query
