@@ -91,7 +91,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "tickets":
         sources.use(spark, args.db)
         loaded = plans.load_tickets(spark, args.db, args.files, repartition=args.repartition)
-        plans.row_counts({"sporting_event_ticket": loaded}).show()
+        plans.row_counts({"sporting_event_ticket": loaded}).show(truncate=False)
     else:
         etl.run(spark, _config(args)).show(truncate=False)
 

@@ -270,3 +270,39 @@ def test_timings_come_in_pairs(spark):
     found = layout.paired_timings(spark, {"q": lambda t: t["t"]}, tables, lambda: tables, 3).collect()
     assert [r["run"] for r in found] == [0, 1, 2]
     assert all(r["seconds_nodist"] > 0 and r["seconds_dist"] > 0 for r in found)
+
+
+# --- command line ----------------------------------------------------------------
+
+
+def test_commands(spark, database, tmp_path, capsys):
+    from starloom.__main__ import main
+
+    write_input(tmp_path, [event(artist="N", song="T"), event(artist="N", song="T", ts=1_541_003_600_000)])
+    paths = tmp_path / "paths.json"
+    paths.write_text(json.dumps({"jsonpaths": [f"$.{c}" for c in schemas.EVENTS.names]}))
+    load = ["--db", database, "--events", str(tmp_path / "events"), "--songs", str(tmp_path / "songs"), "--paths", str(paths)]
+    main(["run", *load, "--refuse-overlong"])
+    main(["answers", "--db", database])
+    assert "No duplicates found" in capsys.readouterr().out
+    main(["etl", *load])
+    main(["keys", "--db", database])
+    told = capsys.readouterr().out
+    assert "Duplicates found" in told and "|users" in told
+    main(["figures", *load, "--merge-latest"])
+    assert "too_long" in capsys.readouterr().out
+    (tmp_path / "events" / "a.json").write_text("{")
+    main(["diagnose", "--events", str(tmp_path / "events"), "--paths", str(paths)])
+    assert "no JSON object: {" in capsys.readouterr().out
+    (tmp_path / "t.csv").write_text("1;2;3;4;s;r;a;;9.50\n")
+    main(["tickets", "--db", database, "--files", str(tmp_path / "t.csv")])
+    assert "sporting_event_ticket" in capsys.readouterr().out
+
+
+def test_checks_by_hash_agree(spark, database, tmp_path):
+    write_input(tmp_path, [event(), event(userId="2")])
+    plans.run(spark, config(database, tmp_path))
+    by_hash = plans.run(spark, config(database, tmp_path, append=True, check_by_hash=True))
+    told = {r["table_name"]: r for r in by_hash.collect()}
+    assert told["users"]["duplicate_keys"] == 2 and told["users"]["row_count"] == 4
+    assert told["artists"]["verdict"] == "Duplicates found"
