@@ -1,20 +1,27 @@
 """Personal data: fixed patterns, and contextual extraction bootstrapped from them.
 
-1. Base spans: the four fixed patterns over whole texts, failing matches dropped.
-2. Every digit-bearing word run is a candidate instance. Its lexical pattern is the
-   two words before it, the word behind it, and its own shape (digit runs with their
-   length, letter runs without). Base spans are the seeds: instances of known kind.
-3. Spark scores the pattern-instance graph for ``ROUNDS`` rounds. A pattern's score
-   for a kind is the mean of its distinct instances' scores, shrunk by
-   ``PRIOR`` unknown instances; an instance's score is 1 if a seed of the kind, else
-   the noisy-or of its trusted patterns. A pattern is trusted from ``MIN_SCORE`` on
-   if it holds at least ``MIN_SEEDS`` distinct instances that are seeds of the kind.
-4. Candidates in a trusted pattern that overlap no base span become spans of its
-   kind. Base spans always stay.
+1. Base spans: the four fixed patterns over whole texts, failing matches dropped. They
+   are the seeds: instances of known kind.
+2. Every other word that holds a digit or an "@" is a candidate instance, trimmed of
+   punctuation. Instances have lexical patterns at several granularities: the shape of
+   the instance itself (digit runs with their length, letter runs without); its first
+   character and shape; the word before and the shape; two words before and the shape
+   without lengths; the words on both sides.
+3. Spark scores the pattern-instance graph round by round. A pattern's score for a kind
+   is the share of its distinct instances that are known to be of the kind, shrunk by
+   ``PRIOR`` unknown ones; it is trusted from ``MIN_SCORE`` on if ``MIN_KNOWN`` distinct
+   known instances support it. An unknown instance's score is the noisy-or of its
+   trusted patterns; from ``ACCEPT`` on it becomes known, of its best kind, and supports
+   patterns in the next round as a seed does. Known instances stay known, so rounds end
+   at a fixed point: when none is added.
+4. Every occurrence of a discovered instance becomes a span of its kind. Base spans
+   always stay.
 
 Edges are combined per (pattern, instance) before anything else is grouped, so a hot
-document, source or context sends one row per pair and map task. NULL counts as the
-empty text. Offsets count code points, end exclusive.
+document, source or context sends one row per pair and map task. Instances and contexts
+of any length count whole. NULL counts as the empty text. Repeated rows get the same
+spans each, and count once as evidence. Extra columns are not read. Offsets count code
+points, end exclusive.
 """
 
 from __future__ import annotations
@@ -24,17 +31,17 @@ import re
 from bisect import bisect_right
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.common import materialize, replicate, text_or_empty, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
-PRIOR = 2.0
-MIN_SCORE = 0.6
-MIN_SEEDS = 3
+PRIOR = 1.0
+MIN_SCORE = 0.7
+MIN_KNOWN = 3
+ACCEPT = 0.75
 
 # What the four kinds look like. A digit run is tried from its start
 # only, since a later start in the same run fails as well.
@@ -43,10 +50,11 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-WORD_BEHIND = re.compile(r"\s*(\S+)")
 SHAPE = re.compile(r"[0-9]+|[^\W\d_]+", re.UNICODE)
-CONTEXT_CHARS = 64
-LONGEST_INSTANCE = 64
+CLUE = re.compile(r"[0-9@]")
+EDGE = re.compile(r"\s")
+NEXT_WORD = re.compile(r"\s*(\S*)")
+RUN = re.compile(r"[0-9]+")
 
 SPAN = T.StructType(
     [
@@ -60,8 +68,8 @@ CANDIDATES = T.StructType(
         T.StructField("kind", T.IntegerType()),
         T.StructField("start", T.LongType()),
         T.StructField("end", T.LongType()),
-        T.StructField("pattern", T.LongType()),
         T.StructField("instance", T.LongType()),
+        T.StructField("patterns", T.ArrayType(T.LongType())),
     ]
 )
 FOUND = T.StructType(
@@ -121,57 +129,72 @@ def shape(instance: str) -> str:
     return SHAPE.sub(lambda m: f"0{{{len(m[0])}}}" if m[0][0].isdigit() else "a", instance)
 
 
-def pattern_of(text: str, start: int, end: int) -> int:
-    """The lexical pattern around a span: two words before, one behind, its shape."""
-    left = text[max(0, start - CONTEXT_CHARS) : start].lower().split()[-2:]
-    behind = WORD_BEHIND.match(text[end : end + CONTEXT_CHARS].lower())
-    return number(*left, "|", behind[1] if behind else "", "|", shape(text[start:end]))
+def words_before(text: str, start: int, n: int) -> list[str]:
+    """The ``n`` words before a place, nearest last; fewer at the beginning."""
+    out: list[str] = []
+    at = start
+    while len(out) < n:
+        while at and text[at - 1].isspace():
+            at -= 1
+        if not at:
+            break
+        end = at
+        while at and not text[at - 1].isspace():
+            at -= 1
+        out.insert(0, text[at:end].lower())
+    return out
+
+
+def patterns_of(text: str, start: int, end: int) -> list[int]:
+    """The lexical patterns of a span, from the plainest to the most specific."""
+    instance = text[start:end]
+    own, rough = shape(instance), RUN.sub("0", SHAPE.sub(lambda m: "0" if m[0][0].isdigit() else "a", instance))
+    left = words_before(text, start, 2)
+    behind = NEXT_WORD.match(text, end)[1].lower()
+    out = [number("shape", own), number("lead", instance[:1], own)]
+    if left:
+        out.append(number("before", left[-1], own))
+        out.append(number("around", left[-1], behind))
+    if len(left) == 2:
+        out.append(number("two before", *left, rough))
+    return out
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple]:
-    """(kind number or -1, start, end, pattern, instance) of base and other spans."""
-    out = [
-        (kind, s, e, pattern_of(text, s, e), number(text[s:e]))
-        for kind, s, e in base
-        if e - s <= LONGEST_INSTANCE
-    ]
+    """(kind number or -1, start, end, instance, patterns) of base and other spans."""
+    out = [(kind, s, e, number(text[s:e]), patterns_of(text, s, e)) for kind, s, e in base]
     starts, ends, reach = [], [], 0
     for _, s, e in base:
         reach = max(reach, e)
         starts.append(s)
         ends.append(reach)
-    for m in _digit_words(text):
-        s, e = m
+    for s, e in identifier_words(text):
         i = bisect_right(starts, e - 1)
         if i and ends[i - 1] > s:
             continue
-        out.append((-1, s, e, pattern_of(text, s, e), number(text[s:e])))
+        out.append((-1, s, e, number(text[s:e]), patterns_of(text, s, e)))
     return out
 
 
-DIGIT = re.compile(r"[0-9]")
-EDGE = re.compile(r"\s")
-
-
-def _digit_words(text: str):
-    """Trimmed words with at least six digits, found from their first digit outward."""
-    m = DIGIT.search(text)
+def identifier_words(text: str):
+    """Words with a digit or an "@", without punctuation at their ends, found from the
+    first such character outward."""
+    m = CLUE.search(text)
+    floor = 0
     while m:
         low = m.start()
-        floor = max(0, low - LONGEST_INSTANCE)
         while low > floor and not text[low - 1].isspace():
             low -= 1
         edge = EDGE.search(text, m.start())
-        high = edge.start() if edge else len(text)
-        if high - low <= LONGEST_INSTANCE:
-            s, e = low, high
-            while s < e and not (text[s].isalnum() or text[s] == "+"):
-                s += 1
-            while e > s and not text[e - 1].isalnum():
-                e -= 1
-            if sum(c.isdigit() for c in text[s:e]) >= 6:
-                yield s, e
-        m = DIGIT.search(text, high)
+        high = floor = edge.start() if edge else len(text)
+        s, e = low, high
+        while s < e and not (text[s].isalnum() or text[s] in "+@"):
+            s += 1
+        while e > s and not text[e - 1].isalnum():
+            e -= 1
+        if s < e:
+            yield s, e
+        m = CLUE.search(text, high)
 
 
 def extract(text: Column) -> Column:
@@ -185,7 +208,7 @@ def extract(text: Column) -> Column:
             base.append([dict(zip(SPAN.names, s)) for s in spans])
             more.append([dict(zip(CANDIDATES.names, c)) for c in candidates(text, spans)])
         span = pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
-        candidate = pa.struct([*span, ("pattern", pa.int64()), ("instance", pa.int64())])
+        candidate = pa.struct([*span, ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))])
         return pa.StructArray.from_arrays(
             [pa.array(base, pa.list_(span)), pa.array(more, pa.list_(candidate))], FOUND.names
         )
@@ -193,61 +216,63 @@ def extract(text: Column) -> Column:
     return found(text)
 
 
-def trusted_patterns(
+def discover(
     edges: DataFrame,
-    rounds: int = ROUNDS,
     prior: float = PRIOR,
     min_score: float = MIN_SCORE,
-    min_seeds: int = MIN_SEEDS,
+    min_known: int = MIN_KNOWN,
+    accept: float = ACCEPT,
 ) -> DataFrame:
-    """(pattern, kind) of the patterns trusted after ``rounds`` rounds.
+    """(instance, kind, round) of the instances found to be of a kind.
 
-    ``edges``: pattern, instance, kind (-1: unknown), any number of times.
+    ``edges``: pattern, instance, kind (-1: unknown), any number of times. An instance
+    that is a seed anywhere is one everywhere.
     """
-    pairs = materialize(
-        edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges"
-    )
-    size = pairs.groupBy("pattern").agg(F.count("*").alias("n"))
-    seeds = (
-        pairs.filter("kind >= 0")
-        .groupBy("pattern", "kind")
-        .agg(F.count("*").alias("n_seeds"))
-        .filter(F.col("n_seeds") >= min_seeds)
-    )
-    support = materialize(seeds.join(size, "pattern"), "pii-support")
-    unknown = pairs.filter("kind < 0").select("pattern", "instance")
-    # Only unknown instances that occur in a supported pattern can gain a score.
-    linked = materialize(
-        unknown.join(support.select("pattern", "kind", "n_seeds", "n"), "pattern"), "pii-linked"
+    pairs = edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
+    pairs = materialize(pairs, "pii-edges")
+    size = materialize(pairs.groupBy("pattern").agg(F.count("*").alias("n")), "pii-patterns")
+    seeds = pairs.groupBy("instance").agg(F.max("kind").alias("kind")).filter("kind >= 0")
+    known = newly = materialize(seeds.withColumn("round", F.lit(0)), "pii-known")
+    unknown = materialize(
+        pairs.select("pattern", "instance").join(seeds.select("instance"), "instance", "left_anti"), "pii-unknown"
     )
-    gained = None
-    for _ in range(rounds):
-        scored = support.withColumn("gain", F.lit(0.0))
-        if gained is not None:
-            gain = (
-                linked.join(gained, ["instance", "kind"])
-                .groupBy("pattern", "kind")
-                .agg(F.sum("score").alias("gain"))
-            )
-            scored = support.join(gain, ["pattern", "kind"], "left").fillna(0.0, ["gain"])
-        scored = scored.withColumn(
-            "score", (F.col("n_seeds") + F.col("gain")) / (F.col("n") + F.lit(prior))
+    support, rounds = None, 0
+    while True:
+        # Only what became known in the last round adds to the support.
+        told = (
+            pairs.select("pattern", "instance")
+            .join(replicate(newly.select("instance", "kind")), "instance")
+            .groupBy("pattern", "kind")
+            .agg(F.count("*").alias("n_known"))
+        )
+        if support is not None:
+            told = support.unionByName(told).groupBy("pattern", "kind").agg(F.sum("n_known").alias("n_known"))
+        support = materialize(told, "pii-support")
+        rounds += 1
+        trusted = (
+            support.filter(F.col("n_known") >= min_known)
+            .join(size, "pattern")
+            .withColumn("score", F.col("n_known") / (F.col("n") + F.lit(prior)))
+            .filter(F.col("score") >= min_score)
+            .select("pattern", "kind", "score")
         )
-        trusted = scored.filter(F.col("score") >= min_score).select("pattern", "kind", "score")
         trusted = materialize(trusted, "pii-trusted")
-        gained = materialize(
-            linked.select("instance", "pattern", "kind")
-            .join(trusted, ["pattern", "kind"])
+        scored = (
+            unknown.join(replicate(trusted), "pattern")
             .groupBy("instance", "kind")
-            .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))))).alias("score")),
-            "pii-gained",
+            .agg((1 - F.exp(F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999)))))).alias("score"))
+            .filter(F.col("score") >= accept)
+            .groupBy("instance")
+            .agg(F.max(F.struct("score", (-F.col("kind")).alias("less"))).alias("best"))
         )
-    best = Window.partitionBy("pattern").orderBy(F.col("score").desc(), "kind")
-    return (
-        trusted.withColumn("_place", F.row_number().over(best))
-        .filter("_place = 1")
-        .select("pattern", "kind")
-    )
+        found = scored.select("instance", (-F.col("best.less")).alias("kind"))
+        newly = materialize(
+            found.join(replicate(known.select("instance")), "instance", "left_anti").withColumn("round", F.lit(rounds)),
+            "pii-found",
+        )
+        if not newly.take(1):
+            return known.filter("round > 0")
+        known = materialize(known.unionByName(newly), "pii-known")
 
 
 def _digest(spans: Column) -> Column:
@@ -271,7 +296,7 @@ def _digest(spans: Column) -> Column:
 
 
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **scoring) -> DataFrame:
-    """Per document: id, base spans, and spans that trusted patterns add.
+    """Per document: id, base spans, and spans of discovered instances.
 
     Texts are read once; all that follows runs on the written spans.
     """
@@ -282,11 +307,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **scor
         "pii-spans",
     )
     each = spans.filter(F.size("candidates") > 0).select("row", F.inline("candidates"))
-    trusted = trusted_patterns(each.select("pattern", "instance", "kind"), **scoring)
+    edges = each.select("instance", "kind", F.explode("patterns").alias("pattern"))
+    found = discover(edges, **scoring)
     added = (
         each.filter("kind < 0")
-        .drop("kind")
-        .join(replicate(trusted), "pattern")
+        .drop("kind", "patterns")
+        .join(replicate(found.select("instance", "kind")), "instance")
         .groupBy("row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
     )
