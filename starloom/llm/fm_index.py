@@ -1,29 +1,30 @@
 """Benchmark decontamination with one FM-index per shard of training text.
 
-Words are numbered by the words of the benchmark; a run of other words, and the
-gap between two documents, is one separator that no test phrase holds. So the index
-is exact for every phrase and its alphabet is the benchmark's.
-
 A shard is a run of whole documents of at most ``SHARD_WORDS`` words (a longer
-document spreads over several shards that overlap by a phrase). Its numbers are
+document spreads over several shards that overlap by a phrase). Its words are numbered
+by the shard's own vocabulary, a separator stands behind each document; the numbers are
 sorted by suffix, the Burrows-Wheeler transform goes into a wavelet matrix, and every
-``SAMPLE``-th suffix position is kept. All test phrases are searched backward at
-once; each step costs two ranks per phrase still alive. Occurrences are located by
-walking to a sampled position, and overlapping ones merged into removal spans.
-
-Benchmark items are read in blocks of ``BLOCK_BYTES``: each block is one broadcast of
-bounded size and one pass over the documents. An item whose phrases would be of
-different length than ``window`` words (it has fewer) is one phrase.
-
-NULL and empty texts have no words and are never contaminated; items without words
-have no phrases; equal items are all reported.
+``SAMPLE``-th suffix position is kept. The index knows nothing of the benchmark.
+
+Benchmark items come in blocks of ``BLOCK_BYTES``, each a broadcast of bounded size that
+executors keep on disk; the driver makes one after the other and a task holds one at a
+time. A task indexes ``SHARDS_HELD`` shards, each once, and goes through the blocks: their words are
+translated to the shard's, phrases with other words drop out, and all that are left are
+searched backward at once; each step costs two ranks per phrase still alive.
+Occurrences are located by walking to a sampled position, and overlapping ones of all
+blocks merged into removal spans. One pass and one plan, however many blocks.
+
+An item whose phrases would be of different length than ``window`` words (it has fewer)
+is one phrase. NULL and empty texts have no words and are never contaminated; items
+without words have no phrases; equal items are all reported. The windows of an item
+whose id is NULL count as hits, but there is no id to report. Repeated documents are
+searched each for itself; very long ones whole. Extra columns pass through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from starloom.llm.common import fresh, slices, text_or_empty
 
 WINDOW = 13
 SHARD_WORDS = 400_000
+SHARDS_HELD = 4
 SAMPLE = 16
 BLOCK_BYTES = 8 << 20
 # Words are ASCII digits and letters, and everything beyond ASCII.
@@ -187,35 +189,40 @@ class FMIndex:
 
 @dataclass
 class Phrases:
-    """Windows of a block of items: numbers of words, phrases by length, their items."""
+    """Windows of a block of items: distinct words, phrases by length as numbers of
+    words, and per phrase the items that hold it, as ranges of one array."""
 
-    window: int = WINDOW
-    numbers: dict[bytes, int] = field(default_factory=dict)
-    lengths: dict[int, np.ndarray] = field(default_factory=dict)
-    owners: dict[int, list[list[str]]] = field(default_factory=dict)
+    words: list[bytes]
+    lengths: dict[int, np.ndarray]
+    owner_ends: dict[int, np.ndarray]
+    owners: dict[int, np.ndarray]
+    items: list[str | None]
 
     @classmethod
-    def of(cls, items: list[tuple[str, str]], window: int = WINDOW) -> Phrases:
-        self = cls(window)
-        seen: dict[tuple[int, ...], dict[str, None]] = {}
-        for item, text in items:
-            words = words_of((text or "").encode("utf-8"))
-            ids = [self.numbers.setdefault(w, len(self.numbers) + 1) for w in words]
+    def of(cls, items: list[tuple[str | None, str]], window: int = WINDOW) -> Phrases:
+        numbers: dict[bytes, int] = {}
+        seen: dict[tuple[int, ...], dict[int, None]] = {}
+        names = [item for item, _ in items]
+        for item, (_, text) in enumerate(items):
+            ids = [numbers.setdefault(w, len(numbers)) for w in words_of((text or "").encode("utf-8"))]
             length = min(window, len(ids))
             for start in range(len(ids) - length + 1 if ids else 0):
                 seen.setdefault(tuple(ids[start : start + length]), {})[item] = None
+        lengths, ends, owners = {}, {}, {}
         for length in {len(p) for p in seen}:
             phrases = [p for p in seen if len(p) == length]
-            self.lengths[length] = np.array(phrases, dtype=np.int64)
-            self.owners[length] = [list(seen[p]) for p in phrases]
-        return self
+            lengths[length] = np.array(phrases, dtype=np.int64)
+            ends[length] = np.cumsum([0, *(len(seen[p]) for p in phrases)])
+            owners[length] = np.array([i for p in phrases for i in seen[p]], dtype=np.int64)
+        return cls(list(numbers), lengths, ends, owners, names)
 
 
 def item_blocks(items: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator:
-    """The items in blocks of about ``block_bytes``, each a list of (id, text)."""
+    """The items in blocks of about ``block_bytes``, each a list of (id, text), read
+    one after the other. There is one at least."""
     slim = items.select(
         F.col(f"`{item_col}`").cast("string").alias("item"), text_or_empty(text_col).alias("text")
-    ).filter(F.col("item").isNotNull())
+    )
     total = slim.agg(F.sum(F.octet_length("text") + F.lit(16))).first()[0] or 0
     blocks = -(-total // block_bytes) or 1
     for block in range(blocks):
@@ -228,115 +235,116 @@ def item_blocks(items: DataFrame, item_col: str, text_col: str, block_bytes: int
 # --- search ----------------------------------------------------------------------
 
 
-def shard_hits(texts: list[bytes], phrases: Phrases, shard_words: int):
-    """Of one shard's documents: words, (start, length, phrase) of each occurrence."""
-    number = phrases.numbers.get
-    alphabet = len(phrases.numbers)
-    per_doc = [[number(w, 0) for w in words_of(t)] for t in texts]
-    sizes = [len(ids) for ids in per_doc]
-    flat = np.zeros(sum(sizes) + len(sizes), dtype=np.int64)
-    starts, at = [], 0
-    for ids in per_doc:
-        starts.append(at)
-        flat[at : at + len(ids)] = ids
-        at += len(ids) + 1  # the separator behind each document
-    # One separator of each run: no phrase holds any, so none is lost.
-    kept = np.ones(len(flat), dtype=bool)
-    kept[1:] = (flat[1:] != 0) | (flat[:-1] != 0)
-    where = np.flatnonzero(kept)
-    text = flat[where]
-    found: list[tuple[np.ndarray, int, np.ndarray]] = []
-    longest = max(phrases.lengths, default=0)
-    for begin in range(0, len(text), shard_words):
-        part = text[begin : begin + shard_words + max(longest - 1, 0)]
-        if not part.any() or not longest:
-            continue
-        index = FMIndex(part, alphabet)
-        for length, wanted in phrases.lengths.items():
-            low, high = index.search(wanted)
-            count = high - low
-            if not count.any():
+class Shard:
+    """The index of a run of documents, and what has been found in them."""
+
+    def __init__(self, texts: list[bytes], shard_words: int, overlap: int):
+        self.numbers: dict[bytes, int] = {}
+        number = self.numbers.setdefault
+        per_doc = [[number(w, len(self.numbers) + 1) for w in words_of(t)] for t in texts]
+        self.sizes = [len(ids) for ids in per_doc]
+        text = np.zeros(sum(self.sizes) + len(self.sizes), dtype=np.int64)
+        starts, at = [], 0
+        for ids in per_doc:
+            starts.append(at)
+            text[at : at + len(ids)] = ids
+            at += len(ids) + 1  # the separator behind each document
+        self.starts = np.array(starts, dtype=np.int64)
+        # More than one part only if a document alone is larger than a shard.
+        self.parts = [
+            (begin, FMIndex(text[begin : begin + shard_words + overlap], len(self.numbers)))
+            for begin in range(0, len(text), shard_words)
+            if text[begin : begin + shard_words + overlap].any()
+        ]
+        self.edges = np.zeros(len(text) + 1, dtype=np.int32)
+        self.items: dict[int, set[str]] = {}
+        self.hit: set[int] = set()
+
+    def search(self, phrases: Phrases) -> None:
+        known = np.array([self.numbers.get(w, 0) for w in phrases.words], dtype=np.int64)
+        for length, numbered in phrases.lengths.items():
+            wanted = known[numbered]
+            alive = np.flatnonzero(wanted.all(axis=1))
+            if not len(alive):
+                continue
+            for begin, index in self.parts:
+                low, high = index.search(wanted[alive])
+                count = high - low
+                if not count.any():
+                    continue
+                phrase = np.repeat(alive, count)
+                offset = np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
+                position = begin + index.locate(np.repeat(low, count) + offset)
+                self._add(position, length, phrase, phrases)
+
+    def _add(self, position: np.ndarray, length: int, phrase: np.ndarray, phrases: Phrases) -> None:
+        np.add.at(self.edges, position, 1)
+        np.add.at(self.edges, position + length, -1)
+        doc = np.searchsorted(self.starts, position, side="right") - 1
+        ends, owners = phrases.owner_ends[length], phrases.owners[length]
+        for d, p in np.unique(np.stack([doc, phrase], 1), axis=0).tolist():
+            self.hit.add(d)
+            names = {phrases.items[i] for i in owners[ends[p] : ends[p + 1]]}
+            self.items.setdefault(d, set()).update(n for n in names if n is not None)
+
+    def rows(self) -> list[tuple]:
+        """A ``HITS`` row per text. Spans count words, end exclusive."""
+        covered = np.cumsum(self.edges) > 0
+        rows = []
+        for doc, (start, size) in enumerate(zip(self.starts.tolist(), self.sizes)):
+            if doc not in self.hit:
+                rows.append((size, 0, [], [], []))
                 continue
-            phrase = np.repeat(np.arange(len(wanted)), count)
-            offset = np.arange(len(phrase)) - np.repeat(np.cumsum(count) - count, count)
-            position = where[begin + index.locate(np.repeat(low, count) + offset)]
-            found.append((position, length, phrase))
-    return sizes, np.array(starts, dtype=np.int64), found
-
-
-def document_hits(texts: list[bytes], phrases: Phrases, shard_words: int) -> list[tuple]:
-    """A ``HITS`` row per text. Spans count words, end exclusive."""
-    sizes, starts, found = shard_hits(texts, phrases, shard_words)
-    hit = np.zeros(sum(sizes) + len(sizes) + 1, dtype=np.int32)
-    items: dict[int, set[str]] = {}
-    for position, length, phrase in found:
-        np.add.at(hit, position, 1)
-        np.add.at(hit, position + length, -1)
-        owner = np.searchsorted(starts, position, side="right") - 1
-        for doc, p in np.unique(np.stack([owner, phrase], 1), axis=0).tolist():
-            items.setdefault(doc, set()).update(phrases.owners[length][p])
-    covered = np.cumsum(hit) > 0
-    rows = []
-    for doc, (start, size) in enumerate(zip(starts.tolist(), sizes)):
-        if doc not in items:
-            rows.append((size, 0, [], [], []))
-            continue
-        edge = np.diff(np.concatenate([[0], covered[start : start + size], [0]]).astype(np.int8))
-        begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        rows.append(
-            (size, int((ends - begins).sum()), sorted(items[doc]), begins.tolist(), ends.tolist())
-        )
-    return rows
-
-
-def _block_pass(docs, text_col, name, phrases, shard_words):
-    shared = docs.sparkSession.sparkContext.broadcast(phrases)
+            edge = np.diff(np.concatenate([[0], covered[start : start + size], [0]]).astype(np.int8))
+            begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            found = sorted(self.items.get(doc, ()))
+            rows.append((size, int((ends - begins).sum()), found, begins.tolist(), ends.tolist()))
+        return rows
+
+
+def document_hits(texts: list[bytes], blocks: list[Phrases], shard_words: int = SHARD_WORDS) -> list[tuple]:
+    """A ``HITS`` row per text of one shard."""
+    overlap = max((max(b.lengths, default=1) - 1 for b in blocks), default=0)
+    shard = Shard(texts, shard_words, overlap)
+    for phrases in blocks:
+        shard.search(phrases)
+    return shard.rows()
+
+
+def _search(docs: DataFrame, text_col: str, name: str, shared: list, window: int, shard_words: int) -> DataFrame:
     columns, place = docs.columns, docs.columns.index(text_col)
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string())] + [pa.list_(pa.int64())] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.RecordBatch, Shard]] = []
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            for block in shared:
+                phrases = block.value
+                for _, shard in held:
+                    shard.search(phrases)
+                if len(shared) > 1:
+                    del block._value  # read again from the executor's disk next time
+            for part, shard in held:
+                arrays = [pa.array(list(c), kind) for c, kind in zip(zip(*shard.rows()), kinds)]
+                hits = pa.StructArray.from_arrays(arrays, HITS.names)
+                yield pa.RecordBatch.from_arrays([*part.columns, hits], [*columns, name])
+            held.clear()
+
         for batch in batches:
             data = [(t or "").encode("utf-8") for t in batch.column(place).to_pylist()]
             for start, end in slices([len(t) // 5 + 1 for t in data], shard_words):
-                rows = document_hits(data[start:end], shared.value, shard_words)
-                arrays = [
-                    pa.array(list(c), kind)
-                    for c, kind in zip(
-                        zip(*rows),
-                        [pa.int64(), pa.int64(), pa.list_(pa.string())] + [pa.list_(pa.int64())] * 2,
-                    )
-                ]
-                hits = pa.StructArray.from_arrays(arrays, HITS.names)
                 part = batch.slice(start, end - start)
-                yield pa.RecordBatch.from_arrays([*part.columns, hits], [*columns, name])
+                held.append((part, Shard(data[start:end], shard_words, window - 1)))
+                # With one block there is nothing to hold shards for.
+                if len(held) >= (SHARDS_HELD if len(shared) > 1 else 1):
+                    yield from finished()
+        if held:
+            yield from finished()
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, HITS)]))
 
 
-def _merged(a, b):
-    """Hits of two blocks of items in one text: items joined, spans merged."""
-    spans = F.array_sort(F.arrays_zip(F.concat(a["starts"], b["starts"]).alias("s"),
-                                      F.concat(a["ends"], b["ends"]).alias("e")))
-    merged = F.aggregate(
-        spans,
-        F.array().cast("array<struct<s:bigint,e:bigint>>"),
-        lambda done, x: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["e"] >= x["s"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(F.struct(F.element_at(done, -1)["s"].alias("s"),
-                                 F.greatest(F.element_at(done, -1)["e"], x["e"]).alias("e"))),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(x["s"].alias("s"), x["e"].alias("e"))))),
-    )
-    return F.struct(
-        a["n_words"].alias("n_words"),
-        F.aggregate(merged, F.lit(0).cast("long"), lambda n, x: n + x["e"] - x["s"]).alias("n_hit"),
-        F.array_sort(F.array_union(a["items"], b["items"])).alias("items"),
-        F.transform(merged, lambda x: x["s"]).alias("starts"),
-        F.transform(merged, lambda x: x["e"]).alias("ends"),
-    )
-
-
 def find(
     docs: DataFrame,
     items: DataFrame,
@@ -351,20 +359,13 @@ def find(
 
     Documents pass through in their tasks; nothing is shuffled or joined.
     """
-    blocks = [
-        Phrases.of(block, window)
+    context = docs.sparkSession.sparkContext
+    shared = [
+        context.broadcast(Phrases.of(block, window))
         for block in item_blocks(items, item_col, item_text_col, block_bytes)
     ]
-    names, out = [], docs
-    for phrases in blocks:
-        (name,) = fresh(out, "hits")
-        out = _block_pass(out, text_col, name, phrases, shard_words)
-        names.append(name)
-    if len(names) == 1:
-        return out, names[0]
-    (name,) = fresh(out, "hits")
-    columns = [F.col(f"`{n}`") for n in names]
-    return out.withColumn(name, reduce(_merged, columns)).drop(*names), name
+    (name,) = fresh(docs, "hits")
+    return _search(docs, text_col, name, shared, window, shard_words), name
 
 
 def contaminated(hits) -> F.Column:
