@@ -9,7 +9,9 @@ the section its first character lies in, or the next one it reaches. A token tha
 touches no section is counted as between sections.
 
 A token that holds only part of a character spans that whole character. NULL counts
-as the empty text; an empty section has no tokens.
+as the empty text; an empty section has no tokens. Repeated rows are counted each for
+itself. Columns that are not named are not read, whatever they are called; the result
+has its own columns only.
 """
 
 from __future__ import annotations

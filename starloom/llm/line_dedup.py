@@ -1,6 +1,6 @@
 """Line dedup by content-defined chunks of lines.
 
-Line hashes are rolled over ``WINDOW`` lines; a line whose rolling hash is smaller
+Line hashes are rolled over two lines; a line whose rolling hash is smaller
 than the one before and not larger than the one behind begins a chunk. The rule
 looks at nearby lines only, so a passage pasted elsewhere is cut at the same lines
 whatever stands before it, and a chunk inside a document has two lines or more.

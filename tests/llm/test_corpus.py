@@ -1,19 +1,26 @@
 """Near duplicates, sharding, line dedup, tool calls, decontamination, pipeline."""
 
 import collections
+import hashlib
 import json
 import random
+import re
 import zlib
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import corpus_pipeline
-from starloom.llm import fm_index, jaccard, line_dedup, registry, sharding, tools
+from starloom.llm import bpe, fm_index, jaccard, line_dedup, oracles, registry, rules, sharding, tools
 from starloom.llm.common import table
 
 from .conftest import SMALL
+from .test_texts import counted
 
 
 def sets_of(docs):
@@ -92,6 +99,30 @@ def test_runs_reach_the_recall():
     assert (1 - p) ** runs <= 1e-4 < (1 - p) ** (runs - 1)
 
 
+def test_measured_recall_at_the_threshold(spark):
+    """Pairs at exactly the threshold: 4 of 5 windows shared."""
+    rng = random.Random(12)
+    rows = []
+    for i in range(400):
+        words = [f"{i}x{rng.randrange(10**9)}" for _ in range(94)]
+        other = list(words)
+        other[5] = other[15] = "other"  # ten of the ninety windows
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = sets_of([{"text": t} for _, t in rows])
+    near = {2 * i for i in range(400) if len(sets[2 * i] & sets[2 * i + 1]) / len(sets[2 * i] | sets[2 * i + 1]) == 0.8}
+    assert len(near) == 400
+    found = {r["doc_id"]: r["n_links"] for r in jaccard.near_duplicates(docs).collect()}
+    assert sum(found[i] for i in near) >= 0.98 * len(near)
+
+
+def test_texts_meet_once_however_many_blocks(spark):
+    docs = near_copies(spark)
+    whole = jaccard.near_duplicates(docs).select("doc_id", "class_id", "n_links").collect()
+    for how in ({"block": 8}, {"block": 7, "leaf": 3, "depth": 2}):
+        assert sorted(jaccard.near_duplicates(docs, **how).select("doc_id", "class_id", "n_links").collect()) == sorted(whole)
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(90, 91)], "rep long, root long")
     labels = {r["rep"]: r["label"] for r in jaccard.components(edges).collect()}
@@ -118,6 +149,23 @@ def test_shards_hold_the_key_law(small, awkward, nothing):
     assert sharding.assign(nothing).count() == 0
 
 
+def test_shards_against_plain_hashing(spark):
+    import hashlib
+    import math
+
+    def best(key, n):
+        def score(i):
+            digest = hashlib.md5(f"{key}#{i}".encode()).hexdigest()[:12]
+            return -1 / math.log((int(digest, 16) + 0.5) / 16**12)
+
+        return max(range(n), key=lambda i: (score(i), -i))
+
+    rows = registry.QUERIES["op6_sharding"](spark, SMALL).collect()
+    assert len(rows) >= 200
+    for r in rows:
+        assert (r["shard"], r["grown_shard"]) == (best(r["doc_id"], 8), best(r["doc_id"], 9))
+
+
 def test_weights_set_the_shares(spark):
     keys = spark.range(20_000).select(sharding.shard_of(F.col("id").cast("string"), [1.0, 2.0, 5.0]).alias("s"))
     counts = {r["s"]: r["count"] / 20_000 for r in keys.groupBy("s").count().collect()}
@@ -221,6 +269,96 @@ def test_arguments_without_canonical_form_are_invalid(arguments):
     assert tools.check("a", "note", arguments, None, registry.TOOLS) == (False, ["$: not JSON"], None)
 
 
+def test_values_are_those_of_json():
+    assert tools.violations(True, {"enum": [1]}) and tools.violations(1, {"enum": [True]})
+    assert tools.violations([1.0, {"a": 2}], {"enum": [[1, {"a": 2}]]}) == []
+    assert tools.violations(1.0, {"type": "integer"}) == [] and tools.violations(1.5, {"type": "integer"})
+
+
+@pytest.mark.parametrize("limit", [1, 10**6])
+def test_levels_of_long_chains_and_circles(spark, limit):
+    """In one task, or by rounds of joins: the same levels, the same plan at any length."""
+    rng = random.Random(4)
+    graph = {i: [i - 1] for i in range(1, 1000)}  # a chain of a thousand
+    graph |= {2000 + i: [2000 + (i + 1) % 7] for i in range(7)} | {2100: [2003]}  # a circle, one behind it
+    graph |= {3000 + i: sorted({3000 + rng.randrange(i) for _ in range(3)}) for i in range(1, 60)}
+    graph |= {4000: [500, 3030], 4001: [4000], 4002: [4001, 2100], 4003: [4001]}
+    ids = {*graph, *(o for others in graph.values() for o in others), 9000}
+    rows = [("c", str(a), str(b)) for a, others in graph.items() for b in others]
+    rows += [("d", "x", "y"), ("d", "y", "z")]
+    nodes = spark.createDataFrame([("c", str(i)) for i in ids] + [("d", i) for i in "xyz"], "conv_id string, call_id string")
+    refs = spark.createDataFrame(rows, "conv_id string, call_id string, other string")
+    found = {(r["conv_id"], r["call_id"]): r["level"] for r in tools.levels(nodes, refs, limit).collect()}
+    level = {}
+
+    def plain(i):
+        stack = [i]
+        while stack:
+            top = stack[-1]
+            open_ = [o for o in graph.get(top, []) if o not in level]
+            if 2000 <= top < 2101 or top == 4002:
+                level[top] = None
+                stack.pop()
+            elif not open_:
+                values = [level[o] for o in graph.get(top, [])]
+                level.setdefault(top, None if None in values else max((v + 1 for v in values), default=0))
+                stack.pop()
+            else:
+                stack += open_
+
+    for i in ids:
+        plain(i)
+    expected = {("c", str(i)): level[i] for i in ids} | {("d", "x"): 2, ("d", "y"): 1, ("d", "z"): 0}
+    assert found == expected
+
+
+def test_link_against_plain_python(spark):
+    """Status, validity and canonical text of every row, on the derived calls."""
+    conversations = table(spark, SMALL, "conversations")
+    calls, results = (df.distinct().collect() for df in registry.derived_calls(conversations))
+    first = {}
+    for c in sorted(calls, key=lambda c: (c["turn"], c["position"])):
+        first.setdefault((c["conv_id"], c["call_id"]), c)
+    answers, rows = {}, []
+    for r in sorted(results, key=lambda r: (r["turn"], r["position"])):
+        key = (r["conv_id"], r["call_id"])
+        c = first.get(key)
+        behind = c is not None and (r["turn"], r["position"]) > (c["turn"], c["position"])
+        if behind and key not in answers:
+            answers[key] = r
+        else:
+            rows.append((*key, r["turn"], r["position"], "repeated_result" if behind else "orphan_result", False, None))
+    level = {}
+
+    def settled(key, path=()):
+        if key in path:
+            return None
+        if key not in level:
+            known = [(key[0], o) for o in first[key]["after"] if (key[0], o) in first]
+            values = [settled(o, (*path, key)) for o in known]
+            value = None if None in values else 1 + max(values, default=-1)
+            if path and value is None:
+                return None
+            level[key] = value
+        return level[key]
+
+    for c in calls:
+        key = (c["conv_id"], c["call_id"])
+        if c != first[key]:
+            rows.append((*key, c["turn"], c["position"], "repeated_call", False, None))
+            continue
+        answer = answers.get(key)
+        status = "circular" if settled(key) is None else "linked" if answer else "no_result"
+        valid, _, text = tools.check(
+            c["call_id"], c["name"], c["arguments"], answer["content"] if answer else None, registry.TOOLS
+        )
+        valid = valid and all((key[0], o) in first for o in c["after"])
+        rows.append((*key, c["turn"], c["position"], status, valid, text))
+    found = registry.QUERIES["op8_tool_calls"](spark, SMALL)
+    got = found.select("conv_id", "call_id", "turn", "position", "status", "valid", "canonical").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, rows))
+
+
 def test_limits_bind_numbers_only():
     schema = {"minimum": 2, "maximum": 5}
     assert tools.violations("text", schema) == tools.violations(None, schema) == tools.violations(3, schema) == []
@@ -288,8 +426,10 @@ def test_index_against_brute_force(shard_words):
         if rng.random() < 0.5:
             text[rng.randint(0, len(text)) : 0] = rng.choice(items)[1].split()
         texts.append(" ".join(text).upper() + ".")
-    phrases = fm_index.Phrases.of(items)
-    rows = fm_index.document_hits([t.encode() for t in texts], phrases, shard_words)
+    data = [t.encode() for t in texts]
+    rows = fm_index.document_hits(data, [fm_index.Phrases.of(items)], shard_words)
+    blocks = [fm_index.Phrases.of(items[i : i + 4]) for i in range(0, len(items), 4)]
+    assert fm_index.document_hits(data, blocks, shard_words) == rows
     got = [(n, hit, found) for n, hit, found, _, _ in rows]
     assert got == brute_hits(texts, items)
     for n, hit, _, starts, ends in rows:
@@ -312,13 +452,58 @@ def test_blocks_of_items_agree(spark, awkward, nothing):
     assert rows(whole, name) == rows(parts, other)
     found = {r[0]: r for r in whole.select("doc_id", f"`{name}`.n_hit", f"`{name}`.items").collect()}
     assert found[4][1] == 7 and found[4][2] == ["1", "5"]
+    # The windows of an item without an id count; there is no id to list.
+    nameless = spark.createDataFrame([(None, "no id here")], "item_id long, text string")
+    hits, name = fm_index.find(awkward, nameless)
+    (row,) = hits.filter(f"`{name}`.n_hit > 0").select("doc_id", f"`{name}`.*").collect()
+    assert (row["doc_id"], row["n_hit"], row["items"]) == (None, 3, [])
     assert fm_index.find(nothing, items)[0].count() == 0
     assert fm_index.find(awkward, items.limit(0))[0].count() == awkward.count()
 
 
+def test_many_blocks_are_one_pass(spark, small):
+    items = table(spark, SMALL, "benchmark")
+    size = sum(16 + len((r["text"] or "").encode()) for r in items.collect())
+    plans = []
+    for blocks in (1, 50):
+        found, name = fm_index.find(small, items, block_bytes=-(-size // blocks))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        plans.append(re.sub(r"#\d+L?|run\([^)]*\)|\d+", "", plan))
+        rows = sorted(tuple(r) for r in found.select("doc_id", f"{name}.*").collect())
+        if blocks == 1:
+            whole = rows
+    assert rows == whole and any(r[2] for r in rows)
+    assert len(plans[0]) == len(plans[1])
+
+
 # --- pipeline --------------------------------------------------------------------
 
 
+def plain_kept(text):
+    """Base rule and bands of the quality rules, by plain loops."""
+    text = text or ""
+    n, _, _, _, repeated = counted(text)
+    squeeze = zstandard.ZstdCompressor(level=rules.LEVEL).compress
+
+    def odd(part):
+        low, high = [b[1:] for b in rules.BANDS if len(part) >= b[0]][-1]
+        return not low <= len(part) / len(squeeze(part)) <= high
+
+    data = text.encode()
+    if n < 50 or 100 * repeated > 50 * n:
+        return False
+    chunks = [data[i : i + 4096] for i in range(0, len(data), 4096)]
+    return not odd(data) and sum(len(c) for c in chunks if odd(c)) <= 0.25 * len(data)
+
+
+def plain_lines(rows):
+    """Texts by id without repeated chunks, from the SQL of the operator."""
+    con = duckdb.connect()
+    con.register("given", pa.table({"doc_id": [r["doc_id"] for r in rows], "text": [r["text"] for r in rows]}))
+    con.execute("CREATE TABLE documents AS SELECT * FROM given")
+    return {r[0]: r[3] for r in con.execute(oracles.oracle_sql()["op7_line_dedup"]).fetchall()}
+
+
 def test_pipeline(spark, small):
     docs = small
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -327,6 +512,12 @@ def test_pipeline(spark, small):
         assert docs.columns == small.columns
         docs = spark.createDataFrame(docs.collect(), docs.schema)
         after = docs.collect()
+        if name == "quality_rules":
+            assert sorted(after) == sorted(d for d in before if plain_kept(d["text"]))
+        if name == "line_dedup":
+            texts = plain_lines(before)
+            assert {d["doc_id"]: d["text"] for d in after} == texts
+            assert all(d["n_chars"] == len(d["text"]) for d in after)
         if name == "near_duplicates":
             groups = [g for g, _ in brute_groups(before)]
             assert sorted(d["doc_id"] for d in after) == sorted(set(groups))
@@ -335,14 +526,34 @@ def test_pipeline(spark, small):
             hits = brute_hits([d["text"] for d in before], items)
             clean = [d["doc_id"] for d, (n, h, _) in zip(before, hits) if not (h and 20 * h >= n)]
             assert sorted(d["doc_id"] for d in after) == sorted(clean)
-    last = corpus_pipeline.run(spark, SMALL)
-    assert sorted(r["doc_id"] for r in last.select("doc_id").collect()) == sorted(d["doc_id"] for d in after)
-    assert {"doc_id", "ids", "n_tokens", "decoded_sha256"} <= set(last.columns)
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    last = {r["doc_id"]: r for r in corpus_pipeline.run(spark, SMALL).collect()}
+    assert sorted(last) == sorted(d["doc_id"] for d in after)
+    for d in after:
+        row, ids = last[d["doc_id"]], library.encode(d["text"], add_special_tokens=False).ids
+        assert (row["ids"], row["n_tokens"]) == (ids, len(ids))
+        assert row["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(d["text"].encode()).hexdigest()
 
 
 def test_pipeline_stages_on_awkward_rows(spark, awkward, nothing):
+    """The cases the module's docstring defines."""
     extra = [F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(1).cast("long").alias("n_chars")]
-    for docs in (awkward.select("*", *extra), nothing.select("*", *extra)):
-        n = docs.count()
-        for _, stage in corpus_pipeline.STAGES:
-            assert stage(spark, docs, SMALL).count() <= n
+    stages = dict(corpus_pipeline.STAGES)
+    for stage in stages.values():
+        assert stage(spark, nothing.select("*", *extra), SMALL).count() == 0
+    docs = awkward.select("*", *extra)
+    given = docs.collect()
+    kept = {
+        name: stage(spark, docs, SMALL).collect() for name, stage in stages.items()
+    }
+    for name in list(stages)[:-1]:
+        assert kept[name] == [] or kept[name][0].asDict().keys() == given[0].asDict().keys()
+    assert kept["quality_rules"] == []
+    assert sorted((str(d["doc_id"]), str(d["text"])) for d in kept["line_dedup"]) == sorted(
+        (str(d["doc_id"]), str(d["text"])) for d in given
+    )
+    # Rows 1, 2 and 5 have no words, rows 4 are equal.
+    assert sorted(str(d["doc_id"]) for d in kept["near_duplicates"]) == ["1", "4", "6", "7", "8", "None"]
+    assert len(kept["decontamination"]) == len(given)
+    assert {r["n_tokens"] for r in kept["tokens"] if r["doc_id"] in (1, 2)} == {0}

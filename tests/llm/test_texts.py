@@ -101,12 +101,36 @@ def test_rules_counts_and_bands(small, awkward):
             if failed:
                 assert not v["kept"]
                 continue
-            whole = len(data) / len(squeeze(data))
+            def odd(part):
+                low, high = [b[1:] for b in rules.BANDS if len(part) >= b[0]][-1]
+                return not low <= (len(part) / len(squeeze(part)) if part else 1.0) <= high
+
             chunks = [data[i : i + 4096] for i in range(0, len(data), 4096)]
-            chunks = [len(c) / len(squeeze(c)) for c in chunks if len(c) >= 2048]
-            odd = sum(not 1.2 <= c <= 3.4 for c in chunks)
-            least, low, high = [b for b in ((0, 0, 1e9), *rules.BANDS) if len(data) >= b[0]][-1]
-            assert v["kept"] == (low <= whole <= high and odd <= 0.25 * len(chunks))
+            apart = sum(len(c) for c in chunks if odd(c))
+            assert (v["band_failed"], v["odd_chunks"]) == (odd(data), sum(map(odd, chunks)))
+            assert v["kept"] == (not odd(data) and apart <= 0.25 * len(data))
+
+
+def test_bands_decide(spark):
+    """They reject rows the base rule keeps, most of them labelled bad, by whole texts
+    and by chunks, and spare the good ones, held out ones included."""
+    sf = "/root/testdata/sf0.1"
+    judged = table(spark, sf, "documents").select("doc_id", rules.assess(text_or_empty("text")).alias("v"))
+    rows = judged.join(table(spark, sf, "labels"), "doc_id", "left").filter("not v.base_failed").collect()
+    by = collections.Counter((r["quality"], r["v"]["kept"]) for r in rows)
+    good, bad = by[1, False] / (by[1, True] + by[1, False]), by[0, False] / (by[0, True] + by[0, False])
+    assert good < 0.005 and bad > 0.4
+    assert sum(r["v"]["band_failed"] for r in rows) > 100
+    assert sum(r["v"]["chunks_failed"] for r in rows) > 100
+
+
+def test_bands_follow_the_labels(spark):
+    sf = "/root/testdata/sf0.1"
+    found = rules.fitted_bands(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    for least, low, high in found:
+        if least >= 256:
+            _, own_low, own_high = [b for b in rules.BANDS if b[0] <= least][-1]
+            assert own_low <= low + 0.16 and abs(own_high - high) < 0.13
 
 
 def test_rules_reject_repetition_and_noise():
@@ -119,6 +143,14 @@ def test_rules_reject_repetition_and_noise():
     assert not kept(rng.randbytes(5000))
 
 
+def test_a_repetitive_part_rejects_a_text(spark, small):
+    text = max((d["text"] for d in small.collect()), key=len)[:12_000]
+    part = (text[:40] * 200)[:6000]
+    df = spark.createDataFrame([(text,), (text + part,)], "text string")
+    first, second = (r["v"] for r in df.select(rules.assess(F.col("text")).alias("v")).collect())
+    assert first["kept"] and not second["kept"] and second["chunks_failed"]
+
+
 # --- classifier ------------------------------------------------------------------
 
 
@@ -160,6 +192,57 @@ def test_held_out_quality(spark):
     assert found.count() == table(spark, sf, "documents").count()
 
 
+def plain_features(text):
+    """The indicators of a text as readable keys."""
+    words = [w.decode() for w in text.lower().split()]
+    classes = [re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub("[0-9]", "0", w.decode()))) for w in text.split()]
+    shapes = [re.sub(r"(.)\1+", r"\1", s) for s in classes]
+    keys = {("w", w) for w in words} | {("s", s) for s in shapes}
+    keys |= {("ww", *p) for p in zip(words, words[1:])} | {("ss", *p) for p in zip(shapes, shapes[1:])}
+    n = len(words)
+    keys |= {("share", s, -(-8 * c // n)) for s, c in collections.Counter(shapes).items()}
+    triples = collections.Counter(zip(words, words[1:], words[2:]))
+    keys |= {("repeats", -(-8 * sum(c for c in triples.values() if c > 1) // n))} if n else set()
+    return keys
+
+
+def test_features_against_plain_keys(small):
+    """Equal keys have equal buckets, and there are as many buckets as keys."""
+    bucket_of = {}
+    texts = [d["text"].encode() for d in small.collect() if d["text"] and d["text"].isascii()][:40]
+    texts += [b"One two, three One two, three", b"A1 b2 A1 b2 A1 b2", b"x", b""]
+    for text in texts:
+        keys, buckets = plain_features(text), classifier.features([text], bits=40)[1].tolist()
+        assert len(keys) == len(buckets)
+        bucket_of[text] = (keys, set(buckets))
+    for a, (keys, buckets) in bucket_of.items():
+        for other, more in bucket_of.values():
+            assert len(keys & other) == len(buckets & more)
+
+
+def test_log_count_ratios_against_counts():
+    rng = np.random.default_rng(2)
+    rows = [np.unique(rng.integers(0, 12, 5)) for _ in range(30)]
+    labels = rng.integers(0, 2, 30)
+    found = classifier.log_count_ratio(rows, labels, 12, 1.0)
+    for bucket in range(12):
+        p, q = (
+            (1 + sum(bucket in r for r, y in zip(rows, labels) if y == side))
+            / (12 + sum(len(r) for r, y in zip(rows, labels) if y == side))
+            for side in (1, 0)
+        )
+        assert found[bucket] == pytest.approx(np.log(p / q))
+
+
+def test_fit_takes_one_row_of_an_id(spark):
+    texts = [(1, f"text number {i}") for i in range(500)] + [(i, f"word {i}") for i in range(2, 30)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 200)], "doc_id long, label int")
+    few = spark.createDataFrame([(1, "text number 0"), *texts[500:]], "doc_id long, text string")
+    # The copies, and the labels without a document, change nothing.
+    assert classifier.fit(docs, labels, 20) == classifier.fit(few, labels, 20)
+
+
 def test_classifier_on_awkward_rows(spark, awkward, nothing):
     labels = spark.createDataFrame(
         [(i, i % 2, 1) for i in range(1, 9)] + [(4, None, 1), (4, 1, 1), (None, 1, 1)],
@@ -227,6 +310,88 @@ def test_patterns_find_unseen_identifiers(spark):
     assert sum(found[200 + i]["n_added"] for i in range(5)) == 0
 
 
+def plain_discovery(docs):
+    """(doc_id, kind, start, end) of added spans, by plain loops over the same edges."""
+    rows = [(d["doc_id"], pii.candidates(d["text"] or "", pii.base_spans(d["text"] or ""))) for d in docs]
+    kinds, holds = {}, collections.defaultdict(set)
+    for _, found in rows:
+        for kind, _, _, instance, patterns in found:
+            kinds[instance] = max(kind, kinds.get(instance, -1))
+            for p in patterns:
+                holds[p].add(instance)
+    known = {i: k for i, k in kinds.items() if k >= 0}
+    seeds, rounds = set(known), 0
+    while True:
+        rounds += 1
+        scores = collections.defaultdict(lambda: 1.0)
+        for p, members in holds.items():
+            for k in range(4):
+                n = sum(known.get(i) == k for i in members)
+                score = n / (len(members) + pii.PRIOR)
+                if n >= pii.MIN_KNOWN and score >= pii.MIN_SCORE:
+                    for i in members - set(known):
+                        scores[i, k] *= 1 - min(score, 0.999)
+        new = {}
+        for (i, k), miss in sorted(scores.items(), key=lambda x: (-x[1], -x[0][1])):
+            if 1 - miss >= pii.ACCEPT:
+                new[i] = k
+        if not new:
+            break
+        known.update(new)
+    added = {
+        (doc, known[i], s, e) for doc, found in rows for kind, s, e, i, _ in found if kind < 0 and i in known and i not in seeds
+    }
+    return added, rounds
+
+
+def bootstrapped(spark):
+    rng = random.Random(7)
+    rows = []
+
+    def add(text):
+        rows.append((len(rows), text))
+
+    names = ["anna", "bert", "carl", "dora", "emil", "fred", "gita", "hugo"]
+    for i in range(40):  # seeds teach "to ... today"
+        add(f"please write to {rng.choice(names)}{i}@mail.example.com today ok")
+    hidden = [f"{n}@intranet{k}" for k, n in enumerate(names)]  # no dot: no base match
+    for name in hidden:
+        add(f"please write to {name} today ok")
+    for name in hidden:  # found ones teach a second context
+        add(f"old account {name} closed")
+    add("old account zora@elsewhere closed")  # only the second context has it
+    for i in range(8):
+        add(f"order {rng.randint(10**6, 10**7)} shipped in {i} days")
+    return spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_discovered_instances_teach_new_patterns(spark):
+    docs = bootstrapped(spark)
+    found = {r["doc_id"]: r for r in pii.report(pii.find(docs)).collect()}
+    rows = docs.collect()
+    last = next(d["doc_id"] for d in rows if "zora" in d["text"])
+    assert found[last]["spans"] == "email:12:26" and found[last]["n_email"] == 0
+    assert not any(found[d["doc_id"]]["n_added"] for d in rows if "order" in d["text"])
+    edges = spark.createDataFrame(
+        [
+            (p, i, k)
+            for d in rows
+            for k, _, _, i, patterns in pii.candidates(d["text"], pii.base_spans(d["text"]))
+            for p in patterns
+        ],
+        "pattern long, instance long, kind int",
+    )
+    assert max(r["round"] for r in pii.discover(edges).collect()) >= 2
+
+
+def test_added_spans_against_plain_loops(spark, awkward):
+    sf = "/root/testdata/sf0.01"
+    for docs in (bootstrapped(spark), table(spark, sf, "documents"), awkward):
+        expected, _ = plain_discovery(docs.collect())
+        found = pii.find(docs).select("doc_id", F.explode("added").alias("a")).select("doc_id", "a.*").collect()
+        assert {tuple(r) for r in found} == expected
+
+
 def test_personal_data_query(spark, small, awkward, nothing):
     for docs in (small, awkward, nothing):
         rows = pii.report(pii.find(docs)).collect()
