@@ -155,7 +155,11 @@ def duplicate_report(spark, sf_dir):
 
 @query
 def duplicate_report_by_hash(spark, sf_dir):
-    return ops.duplicate_report_by_hash(_keyed_tables(spark, sf_dir))
+    stored = {
+        name: (materialize(df.select(keys), "keys"), keys)
+        for name, (df, keys) in _keyed_tables(spark, sf_dir).items()
+    }
+    return ops.duplicate_report_by_hash(stored)
 
 
 @query
