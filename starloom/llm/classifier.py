@@ -7,12 +7,14 @@ indicator is scaled by the log-count ratio of its class counts (Naive Bayes), an
 linear hinge-loss model is fitted over them by dual coordinate descent. A logistic
 curve over the margins of rows held back from that fit turns margins into scores.
 
-The fit takes at most ``SAMPLE_ROWS`` labelled rows, chosen by a hash of the id
-before any text is read; they are the only rows one task sees together. All texts
-are scored whole, in their tasks, with one broadcast vector of ``2**BITS`` weights.
+The fit takes at most ``SAMPLE_ROWS`` labelled documents, one row of each id: the one
+of the smallest text. They are chosen by a hash of the id among the ids that have both a
+label and a document, and are the only rows one task sees together. All texts are scored
+whole, in their tasks, with one broadcast vector of ``2**BITS`` weights.
 
 NULL counts as the empty text; a text without words scores by the intercept. A
-document with several labels counts by the smallest.
+document with several labels counts by the smallest; rows of one id are scored each for
+itself. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.common import mix, slices, stretch_hashes, text_or_empty, texts_of, word_bounds
+from starloom.llm.common import materialize, mix, slices, stretch_hashes, text_or_empty, texts_of, word_bounds
 
 BITS = 18
 SAMPLE_ROWS = 12_000
@@ -199,7 +201,9 @@ def fit(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
     ``docs``: doc_id, text; ``labelled``: doc_id, label, one row per document.
     """
     order = F.xxhash64(F.col("doc_id").cast("string"))
-    sample = labelled.withColumn("place", order).orderBy("place", "doc_id").limit(sample_rows)
+    # Labels without a document use up no room; no text is read for that.
+    known = labelled.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id", "label", order.alias("place"))
+    sample = materialize(known.orderBy("place", "doc_id").limit(sample_rows), "quality-sample")
 
     @F.arrow_udf(T.BinaryType())
     def buckets(texts: pa.Array) -> pa.Array:
@@ -208,9 +212,13 @@ def fit(docs: DataFrame, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS, bi
             pa.binary(),
         )
 
-    # ``sample_rows`` rows of three numbers each: bounded.
-    rows = docs.join(F.broadcast(sample), "doc_id").select(
-        "place", F.crc32(F.col("text")).alias("crc"), "label", buckets(F.col("text")).alias("b")
+    # ``sample_rows`` rows of three numbers each: bounded. Rows of one id combine
+    # map-side to one.
+    rows = (
+        docs.join(F.broadcast(sample), "doc_id")
+        .groupBy("place", "doc_id", "label")
+        .agg(F.min("text").alias("text"))
+        .select("place", F.crc32(F.col("text")).alias("crc"), "label", buckets(F.col("text")).alias("b"))
     )
 
     def one_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
