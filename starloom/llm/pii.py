@@ -106,7 +106,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind number, start, end), by start, then kind."""
     spans = [(0, *span) for span in emails(text)] if "@" in text else []
     for m in IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        # Leading zeros go first: Python refuses to convert very long digit runs.
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in (q.lstrip("0") for q in m[0].split("."))):
             spans.append((1, m.start(), m.end()))
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 12:
@@ -324,13 +325,14 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **scor
 
 def report(found: DataFrame) -> DataFrame:
     """The digest columns of ``find``'s result."""
-    n = [
-        F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
-        for k, name in enumerate(KINDS)
-    ]
+
+    def count(kind: int) -> Column:
+        # One parameter: Spark passes the place in the array to a second one.
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
     return found.select(
         "doc_id",
-        *n,
+        *[count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sha2(_digest(F.col("base")), 256).alias("base_sha256"),
         _digest(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"),

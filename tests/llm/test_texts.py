@@ -403,6 +403,19 @@ def test_personal_data_query(spark, small, awkward, nothing):
         assert sorted(((r["doc_id"], r["base_sha256"]) for r in rows), key=str) == sorted(expected, key=str)
 
 
+def test_counts_are_those_of_each_kind(spark):
+    """Counts do not depend on the place of a span among the others of its text."""
+    mail, ip, card, phone = "ab@c.de", "10.0.0.7", "4012 8888 8888 1881", "+1 (234) 555-0199"
+    texts = [
+        f"{phone} x {phone} x {mail}", f"{card}, {card}, {card}", f"{ip} and {ip}", f"{mail} only", None,
+        "1.2.3." + "0" * 5000 + "1 " + "9" * 5000 + ".1.1.1",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in pii.report(pii.find(docs)).collect()}
+    counts = [tuple(found[i][f"n_{name}"] for name in pii.KINDS) for i in range(len(texts))]
+    assert counts == [(1, 0, 0, 2), (0, 0, 3, 0), (0, 2, 0, 0), (1, 0, 0, 0), (0, 0, 0, 0), (0, 1, 0, 0)]
+
+
 # --- token counts ----------------------------------------------------------------
 
 
