@@ -7,15 +7,18 @@ from starloom.operators.quality import (
     duplicate_report_by_hash,
     duplicates,
     duplicates_by_hash,
+    duplicates_of_ids,
     length_report,
     length_violations,
     null_report,
     null_violations,
 )
 from starloom.operators.star import (
+    PlayFactors,
     artist_versions,
     artists,
     build_star,
+    play_factors,
     songplay,
     songs,
     time_dim,
@@ -25,6 +28,7 @@ from starloom.operators.star import (
 
 __all__ = [
     "KeyFilter",
+    "PlayFactors",
     "artist_versions",
     "artists",
     "build_star",
@@ -32,12 +36,14 @@ __all__ = [
     "duplicate_report_by_hash",
     "duplicates",
     "duplicates_by_hash",
+    "duplicates_of_ids",
     "latest_by",
     "length_report",
     "length_violations",
     "null_report",
     "null_violations",
     "paired_gain",
+    "play_factors",
     "songplay",
     "songs",
     "time_dim",
