@@ -1,0 +1,95 @@
+"""The fact in factors against the joined fact, and checks of generated keys."""
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from starloom import operators as ops
+from starloom import plans
+
+WEIGHT = "n"
+COLUMNS = [["start_time"], ["start_time", "user_id", "session_id"], ["song_id"], ["song_id", "level"], []]
+
+
+def star(spark, several):
+    """Plays that share time, user and level, plays of no user and no time, copies; names
+    of many songs; if ``several``, songs under several names that the same play may have."""
+    k = F.col("id")
+    events = spark.range(0, 900, 1, 4).select(
+        F.concat(F.lit("a"), k % 4).alias("artist"),
+        F.concat(F.lit("t"), k % 3).alias("song"),
+        F.when(k % 7 > 0, "NextSong").otherwise("Home").alias("page"),
+        F.when(k % 11 > 0, (k % 150) * 400).alias("ts"),
+        F.when(k % 13 > 0, k % 5).alias("userId"),
+        F.when(k % 17 > 0, k % 6).alias("sessionId"),
+        F.when(k % 2 > 0, "free").otherwise("paid").alias("level"),
+        F.when(k % 19 > 0, "Oslo").alias("location"),
+        F.lit("A").alias("userAgent"),
+    )
+    kinds = 30 if several else 120
+    songs = spark.range(0, 120, 1, 3).select(
+        F.when(k % 29 > 0, F.concat(F.lit("a"), k % 5)).alias("artist_name"),
+        F.concat(F.lit("t"), F.floor(k / 7) % 4).alias("title"),
+        F.when(k % kinds > 3, F.concat(F.lit("SO"), k % kinds)).when(F.lit(not several), F.concat(F.lit("so"), k)).alias("song_id"),
+        F.lit("AR").alias("artist_id"),
+    )
+    return events, songs.unionByName(songs.limit(9))
+
+
+@pytest.mark.parametrize("several", [False, True])
+@pytest.mark.parametrize("replicated", [True, False])
+def test_factors_are_the_fact(spark, monkeypatch, several, replicated):
+    events, songs = star(spark, several)
+    fact = ops.songplay(events, songs)  # names of few songs: joined, then distinct
+    expected = rows(fact)
+    assert len(expected) > 1000
+    if not replicated:
+        monkeypatch.setattr("starloom.operators.star.REPLICATE_BYTES", 0)
+    monkeypatch.setattr("starloom.operators.star.FAN_OUT", 0)
+    assert rows(ops.songplay(events, songs)) == expected
+    factors = ops.play_factors(events, songs)
+    assert (factors.rest is not None) == several
+    assert rows(factors.rows()) == expected
+    for columns in COLUMNS:
+        weighted = factors.weighted(columns, WEIGHT)
+        found = weighted.groupBy(*columns).agg(F.sum(WEIGHT))
+        assert rows(found) == rows(fact.groupBy(*columns).agg(F.count("*")))
+        if columns:
+            assert rows(ops.duplicates(weighted, columns, WEIGHT)) == rows(ops.duplicates(fact, columns))
+            found = ops.duplicates_by_hash(weighted, columns, weight=WEIGHT)
+            assert rows(found) == rows(ops.duplicates(fact, columns))
+    assert rows(ops.time_dim(factors.weighted(["start_time"], WEIGHT))) == rows(ops.time_dim(fact))
+    keyed = factors.keyed("songplay_id", 5)
+    assert rows(keyed) == rows(ops.with_dense_id(fact, ["start_time"], "songplay_id", 5))
+
+
+def test_multiplied_fact_is_not_shuffled(spark, monkeypatch):
+    """Neither for its rows nor for its keys nor for what is counted on it."""
+    monkeypatch.setattr("starloom.operators.star.FAN_OUT", 0)
+    events, songs = star(spark, False)
+    plan = plan_of(ops.songplay(events, songs))
+    assert "Exchange" not in plan[: plan.index("HashJoin")]
+    factors = ops.play_factors(events, songs)
+    plan = plan_of(factors.keyed("songplay_id"))
+    assert "Exchange" not in plan[: plan.index("HashJoin")]
+    plan = plan_of(factors.weighted(["start_time"], WEIGHT))
+    assert plan.count("HashAggregate") >= 4
+
+
+def test_no_plays_or_no_songs(spark):
+    events, songs = star(spark, True)
+    for factors in (ops.play_factors(events.limit(0), songs), ops.play_factors(events, songs.limit(0))):
+        assert factors.rows().count() == factors.keyed("k").count() == 0
+        assert rows(plans.row_counts({"t": factors.weighted([], WEIGHT)}, {"t": WEIGHT})) == [("t", 0)]
+
+
+def test_duplicates_of_ids(spark):
+    ids = list(range(-70, 400)) + [-70, 5, 5, 64, 127, 128, 128, 10**15, 10**15 + 64]
+    df = spark.createDataFrame([(i,) for i in ids], "k long").repartition(5)
+    nulls = spark.createDataFrame([(None,)] * 2, "k long")
+    for data in (df, df.unionByName(nulls), df.unionByName(nulls.limit(1)), df.distinct(), df.limit(0)):
+        assert rows(ops.duplicates_of_ids(data, "k")) == rows(ops.duplicates(data, ["k"]))
+        report = {"t": (data, ["k"])}
+        expected = rows(ops.duplicate_report(report))
+        assert rows(ops.duplicate_report(report, generated={"t"})) == expected
+        assert rows(ops.duplicate_report_by_hash(report, generated={"t"})) == expected
