@@ -167,15 +167,18 @@ def first_nodes(sketches: Column, runs: int) -> Column:
     return nodes(sketches)
 
 
-def next_nodes(node: Column, sketches: Column) -> Column:
+def next_nodes(nodes: Column, sketches: Column) -> Column:
+    """The children of all of a set's nodes."""
+
     @F.arrow_udf(T.ArrayType(T.LongType()))
-    def nodes(column: pa.Array, sketch_column: pa.Array) -> pa.Array:
+    def below(column: pa.Array, sketch_column: pa.Array) -> pa.Array:
         rows = np.frombuffer(b"".join(sketch_column.to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        parents = np.asarray(column.to_numpy(zero_copy_only=False)).astype(np.int64).view(np.uint64)
-        child, at = children(parents, rows)
-        return _grouped(child, at, len(rows))
+        owner = np.repeat(np.arange(len(rows)), np.asarray(column.value_lengths()))
+        parents = np.asarray(column.flatten()).astype(np.int64).view(np.uint64)
+        child, at = children(parents, rows[owner])
+        return _grouped(child, owner[at], len(rows))
 
-    return nodes(node, sketches)
+    return below(nodes, sketches)
 
 
 def brief(sketches: Column) -> Column:
@@ -213,8 +216,10 @@ def leaves(sets: DataFrame, runs: int, leaf: int, depth: int) -> tuple[DataFrame
             # A set outside all large nodes is in none further down.
             inside = replicate(large.select("rep").distinct())
             held = materialize(held.join(inside, "rep", "left_semi").select("rep", "sketch"), "held")
-            level = large.join(held, "rep").select(
-                "rep", F.explode(next_nodes(F.col("node"), F.col("sketch"))).alias("node")
+            # A set's sketch meets all of its nodes at once: a few per run at most.
+            nodes = large.groupBy("rep").agg(F.collect_list("node").alias("nodes"))
+            level = nodes.join(held, "rep").select(
+                "rep", F.explode(next_nodes(F.col("nodes"), F.col("sketch"))).alias("node")
             )
     found = parts[0]
     for part in parts[1:]:

@@ -557,3 +557,18 @@ def test_pipeline_stages_on_awkward_rows(spark, awkward, nothing):
     assert sorted(str(d["doc_id"]) for d in kept["near_duplicates"]) == ["1", "4", "6", "7", "8", "None"]
     assert len(kept["decontamination"]) == len(given)
     assert {r["n_tokens"] for r in kept["tokens"] if r["doc_id"] in (1, 2)} == {0}
+
+
+def test_children_of_several_nodes_are_those_of_each(spark):
+    """A sketch meets all nodes of its set at once; sets without nodes have no children."""
+    rng = np.random.default_rng(3)
+    sketches = rng.integers(0, 1 << 32, (5, jaccard.COORDINATES), dtype=np.uint64).astype(np.uint32)
+    nodes = [rng.integers(-(1 << 60), 1 << 60, n).tolist() for n in (3, 0, 1, 7, 2)]
+    data = [(i, n, s.tobytes()) for i, (n, s) in enumerate(zip(nodes, sketches))]
+    df = spark.createDataFrame(data, "rep long, nodes array<long>, sketch binary").repartition(2)
+    found = df.select("rep", jaccard.next_nodes(F.col("nodes"), F.col("sketch")).alias("below")).collect()
+    for row in found:
+        parents = np.array(nodes[row["rep"]], dtype=np.int64).view(np.uint64)
+        expected, _ = jaccard.children(parents, np.repeat(sketches[row["rep"]][None], len(parents), axis=0))
+        assert sorted(row["below"]) == sorted(expected.view(np.int64).tolist())
+    assert len(found) == 5
