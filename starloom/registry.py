@@ -291,10 +291,11 @@ def _write_catalogue(spark: SparkSession, sf_dir: str) -> str:
     return path
 
 
-def _write_gzip(df: DataFrame, path: str, sep: str) -> str:
-    """Delimited text in gzip files of even size: each is read by one task."""
+def _write_gzip(df: DataFrame, path: str, sep: str, even: bool = False) -> str:
+    """Delimited text in gzip files of even size: each is read by one task. ``even``:
+    the partitions are so already, and another shuffle would gain nothing."""
     fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
-    lines = df.hint("rebalance").select(F.concat_ws(sep, *fields).alias("value"))
+    lines = (df if even else df.hint("rebalance")).select(F.concat_ws(sep, *fields).alias("value"))
     lines.write.text(path, compression="gzip")
     return f"{path}/part*"
 
@@ -347,7 +348,8 @@ def delimited_scan_spread(spark, sf_dir):
 
 @query
 def delimited_scan_pipe(spark, sf_dir):
-    path = _write_gzip(standins.lineorder(spark, sf_dir), scratch_path(spark, "lineorder"), "|")
+    lines = standins.lineorder(spark, sf_dir, spread=True)
+    path = _write_gzip(lines, scratch_path(spark, "lineorder"), "|", even=True)
     return read_delimited(spark, path, schemas.widen_ids(schemas.SSB["lineorder"]))
 
 
@@ -645,8 +647,8 @@ def layout_hot_bucket(spark, sf_dir):
 def layout_load(spark, sf_dir):
     """Load the five tables from gzip files into both layouts; rows in each."""
     root = scratch_path(spark, "ssb")
-    for name, df in standins.ssb(spark, sf_dir).items():
-        _write_gzip(df, f"{root}/{name}", "|")
+    for name, df in standins.ssb(spark, sf_dir, spread=True).items():
+        _write_gzip(df, f"{root}/{name}", "|", even=name == "lineorder")
     databases = {name: scratch_namespace(name) for name in layout.LAYOUTS}
     locations = {name: scratch_path(spark, db) for name, db in databases.items()}
     plans.load_both(spark, root, databases, locations)

@@ -106,7 +106,10 @@ def _hundredths(amount: str) -> Column:
     return F.rint(F.col(amount) * 100).cast("long")
 
 
-def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lineorder(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    """Lines with their orders. What follows from a line's other columns is added after
+    the join, so that a shuffle does not carry it. ``spread``: both sides are shuffled
+    whatever their size, which leaves the lines in partitions of even size."""
     orders = source(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("lo_orderkey"),
         F.col("o_custkey").alias("lo_custkey"),
@@ -114,27 +117,27 @@ def lineorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderpriority").alias("lo_orderpriority"),
         _hundredths("o_totalprice").alias("lo_ordertotalprice"),
     )
-    price, discount = _hundredths("l_extendedprice"), _hundredths("l_discount").cast("int")
     lines = source(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("lo_orderkey"),
         F.col("l_linenumber").alias("lo_linenumber"),
         F.col("l_partkey").alias("lo_partkey"),
         F.col("l_suppkey").alias("lo_suppkey"),
-        F.lit("0").alias("lo_shippriority"),
         F.col("l_quantity").cast("int").alias("lo_quantity"),
-        price.alias("lo_extendedprice"),
-        discount.alias("lo_discount"),
-        F.call_function("div", price * (100 - discount), F.lit(100)).alias("lo_revenue"),
-        F.call_function("div", price * 6, F.lit(10)).alias("lo_supplycost"),
+        _hundredths("l_extendedprice").alias("lo_extendedprice"),
+        _hundredths("l_discount").cast("int").alias("lo_discount"),
         _hundredths("l_tax").cast("int").alias("lo_tax"),
         date_key(F.col("l_shipdate")).alias("lo_commitdate"),
-        F.concat(F.lit("MODE "), F.col("l_returnflag")).alias("lo_shipmode"),
+        "l_returnflag",
     )
-    return lines.join(orders, "lo_orderkey").select(
+    price, discount = F.col("lo_extendedprice"), F.col("lo_discount")
+    return lines.join(orders.hint("merge") if spread else orders, "lo_orderkey").select(
         "lo_orderkey", "lo_linenumber", "lo_custkey", "lo_partkey", "lo_suppkey",
-        "lo_orderdate", "lo_orderpriority", "lo_shippriority", "lo_quantity",
-        "lo_extendedprice", "lo_ordertotalprice", "lo_discount", "lo_revenue",
-        "lo_supplycost", "lo_tax", "lo_commitdate", "lo_shipmode",
+        "lo_orderdate", "lo_orderpriority", F.lit("0").alias("lo_shippriority"), "lo_quantity",
+        "lo_extendedprice", "lo_ordertotalprice", "lo_discount",
+        F.call_function("div", price * (100 - discount), F.lit(100)).alias("lo_revenue"),
+        F.call_function("div", price * 6, F.lit(10)).alias("lo_supplycost"),
+        "lo_tax", "lo_commitdate",
+        F.concat(F.lit("MODE "), F.col("l_returnflag")).alias("lo_shipmode"),
     )
 
 
@@ -245,11 +248,12 @@ def dwdate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ssb(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def ssb(spark: SparkSession, sf_dir: str, spread: bool = False) -> dict[str, DataFrame]:
+    """The five tables by name; ``spread`` as in ``lineorder``."""
     return {
         "customer": ssb_customer(spark, sf_dir),
         "dwdate": dwdate(spark, sf_dir),
         "supplier": ssb_supplier(spark, sf_dir),
         "part": ssb_part(spark, sf_dir),
-        "lineorder": lineorder(spark, sf_dir),
+        "lineorder": lineorder(spark, sf_dir, spread),
     }

@@ -3,9 +3,11 @@
 import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from starloom import operators as ops
-from starloom import schemas, standins
+from starloom import registry, schemas, standins
+from starloom.operators import layout
 
 SF = "/root/testdata/sf0.001"
 
@@ -105,3 +107,79 @@ def test_conform_orders_and_casts(spark):
     got = schemas.conform(full, schemas.USERS)
     assert got.schema == schemas.readable(schemas.USERS)
     assert tuple(got.first()) == (7, None, None, None, "x")
+
+
+@pytest.fixture
+def orders_and_lines(spark, tmp_path):
+    """Tables of a few rows: an order of half the lines, lines without an order or a key."""
+    tables = {
+        "region": ["0 as r_regionkey", "'ASIA' as r_name"],
+        "nation": ["0 as n_nationkey", "'JAPAN' as n_name", "0 as n_regionkey"],
+        "customer": ["id as c_custkey", "'C' as c_name", "0 as c_nationkey", "'AUTO' as c_mktsegment"],
+        "supplier": ["id as s_suppkey", "'S' as s_name", "0 as s_nationkey"],
+        "part": [
+            "id as p_partkey", "'red pin' as p_name", "'Brand#7' as p_brand", "'SMALL' as p_type",
+            "1 as p_size",
+        ],
+        "orders": [
+            "id as o_orderkey", "id as o_custkey", "100.5D as o_totalprice",
+            "timestamp'1997-12-01' + make_interval(0, 0, 0, cast(id as int)) as o_orderdate",
+            "'5-LOW' as o_orderpriority",
+        ],
+        "lineitem": [
+            "case when id % 2 = 0 then 3 when id < 90 then id % 25 end as l_orderkey",
+            "cast(id as int) as l_linenumber", "id % 20 as l_partkey", "id % 20 as l_suppkey",
+            "double(id % 7) as l_quantity", "id * 1.01D as l_extendedprice",
+            "id % 11 / 100D as l_discount", "0.02D as l_tax", "'R' as l_returnflag",
+            "timestamp'1997-12-31' as l_shipdate",
+        ],
+    }
+    sizes = {"region": 1, "nation": 1, "lineitem": 100}
+    for name, columns in tables.items():
+        rows_of = spark.range(0, sizes.get(name, 20), 1, 2).selectExpr(*columns)
+        rows_of.write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["layout_load", "delimited_scan_pipe"])
+def test_lines_are_shuffled_once_on_their_way_to_the_files(spark, orders_and_lines, monkeypatch, name):
+    written = {}
+    text = DataFrameWriter.text
+
+    def record(self, path, *args, **kwargs):
+        written[path.rpartition("/")[2].partition("-")[0]] = plan_of(self._df)
+        return text(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "text", record)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for many orders
+    try:
+        found = registry.QUERIES[name](spark, orders_and_lines)
+        stored = {r[0]: r[1:] for r in found.collect()} if name == "layout_load" else found.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+    lines = written["lineorder"]
+    assert lines.count("Exchange ") == 2 and "REBALANCE" not in lines
+    below = lines[lines.index("SortMergeJoin") :]
+    assert "l_extendedprice" in below and "lo_revenue" not in below and "MODE" not in below
+    # Half the lines are of order 3; of the other 45 with a key, orders 20 to 24 are missing.
+    kept = 50 + sum(i % 25 < 20 for i in range(1, 90, 2))
+    if name == "layout_load":
+        assert stored["lineorder"] == (kept, kept) and stored["part"] == (20, 20)
+        assert "REBALANCE" in written["part"]
+    else:
+        assert stored == kept
+
+
+def test_spread_lines_are_the_same_lines(spark, orders_and_lines):
+    plain, spread = (standins.lineorder(spark, orders_and_lines, s) for s in (False, True))
+    assert plain.schema == spread.schema
+    assert layout.difference(plain, spread).count() == 0
+    assert "BroadcastHashJoin" in plan_of(plain) and "SortMergeJoin" in plan_of(spread)
+    line = spread.where("lo_linenumber = 10").first()
+    assert line.asDict() == {
+        "lo_orderkey": 3, "lo_linenumber": 10, "lo_custkey": 3, "lo_partkey": 10, "lo_suppkey": 10,
+        "lo_orderdate": 19971204, "lo_orderpriority": "5-LOW", "lo_shippriority": "0",
+        "lo_quantity": 3, "lo_extendedprice": 1010, "lo_ordertotalprice": 10050, "lo_discount": 10,
+        "lo_revenue": 909, "lo_supplycost": 606, "lo_tax": 2, "lo_commitdate": 19971231,
+        "lo_shipmode": "MODE R",
+    }
