@@ -76,6 +76,46 @@ def test_multiplied_fact_is_not_shuffled(spark, monkeypatch):
     assert plan.count("HashAggregate") >= 4
 
 
+@pytest.mark.parametrize("replicated", [True, False])
+def test_blocks_of_plays_and_songs(spark, monkeypatch, replicated):
+    """Names of several blocks and parts give the fact once."""
+    events, songs = star(spark, True)
+    expected = rows(ops.songplay(events, songs))
+    sizes = {"FAN_OUT": 0, "PLAY_BLOCK": 3, "PLAY_BLOCKS": 2, "SONG_BLOCK": 2, "SONG_BLOCKS": 2}
+    for name, size in sizes.items():
+        monkeypatch.setattr(f"starloom.operators.star.{name}", size)
+    if not replicated:
+        monkeypatch.setattr("starloom.operators.star.REPLICATE_BYTES", 0)
+    assert rows(ops.songplay(events, songs)) == expected
+
+
+def dense_star(spark, plays, songs):
+    """Two names of so many plays and songs each."""
+    k = F.col("id")
+    name = F.concat(F.lit("a"), k % 2)
+    events = spark.range(2 * plays).select(
+        name.alias("artist"), F.lit("t").alias("song"), F.lit("NextSong").alias("page"),
+        (k * 7919 % 86400 * 1000).alias("ts"), (k * 31 % 1009).alias("userId"), (k * 17 % 5003).alias("sessionId"),
+        F.lit("free").alias("level"), F.lit("Oslo").alias("location"), F.lit("A").alias("userAgent"),
+    )
+    catalogue = spark.range(2 * songs).select(
+        name.alias("artist_name"), F.lit("t").alias("title"), F.concat(F.lit("SO"), k).alias("song_id"), F.lit("AR").alias("artist_id")
+    )
+    return events, catalogue
+
+
+def written(path):
+    return sum(f.stat().st_size for f in path.rglob("*.parquet"))
+
+
+def test_multiplied_fact_is_stored_in_little(spark, tmp_path):
+    """What plays and songs repeat in it lies near enough for its compression."""
+    fact = ops.songplay(*dense_star(spark, 300, 3001))
+    fact.coalesce(1).write.parquet(str(tmp_path / "fact"))
+    assert spark.read.parquet(str(tmp_path / "fact")).count() == 2 * 300 * 3001
+    assert written(tmp_path / "fact") < 0.6 * 2 * 300 * 3001
+
+
 def test_no_plays_or_no_songs(spark):
     events, songs = star(spark, True)
     for factors in (ops.play_factors(events.limit(0), songs), ops.play_factors(events, songs.limit(0))):
