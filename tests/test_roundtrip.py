@@ -3,6 +3,8 @@
 from datetime import datetime, timedelta
 
 import pytest
+from conftest import rows
+from pyspark.sql import functions as F
 
 from starloom import registry, schemas, sources
 
@@ -39,3 +41,13 @@ def test_roundtrip_fills_the_whole_star_twice(spark, tables, monkeypatch):
     counts = registry.QUERIES["star_roundtrip"](spark, tables)
     assert {r["table_name"]: r["row_count"] for r in counts.collect()} == STORED
     assert found == [STORED]
+
+
+def test_generated_keys_take_next_to_no_room(spark, database, tmp_path):
+    sources.reset(spark, database, schemas.STAR)
+    n = 400_000
+    sources.insert_into(spark.range(n).select((F.col("id") + 2**40).alias("songplay_id")), f"{database}.songplay", ["songplay_id"])
+    found = spark.table(f"{database}.songplay").agg(F.count("*"), F.min("songplay_id"), F.max("songplay_id"))
+    assert rows(found) == [(n, 2**40, 2**40 + n - 1)]
+    files = (tmp_path / "db" / "songplay").glob("*.parquet")
+    assert 0 < sum(f.stat().st_size for f in files) < n / 4
