@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from starloom import registry, schemas, sources
+from starloom.session import materialize
 
 
 @pytest.fixture
@@ -51,3 +52,20 @@ def test_generated_keys_take_next_to_no_room(spark, database, tmp_path):
     assert rows(found) == [(n, 2**40, 2**40 + n - 1)]
     files = (tmp_path / "db" / "songplay").glob("*.parquet")
     assert 0 < sum(f.stat().st_size for f in files) < n / 4
+
+
+def test_report_by_hash_stores_no_generated_keys(spark, tables, monkeypatch):
+    stored = []
+
+    def watched(df, label):
+        stored.append((label, df.columns))
+        return materialize(df, label)
+
+    lines = spark.createDataFrame([(1, 1), (1, 2), (1, 2)], "l_orderkey long, l_linenumber int")
+    lines.write.parquet(f"{tables}/lineitem.parquet")
+    monkeypatch.setattr(registry, "materialize", watched)
+    found = rows(registry.QUERIES["duplicate_report_by_hash"](spark, tables))
+    assert found == rows(registry.QUERIES["duplicate_report"](spark, tables))
+    assert ("songplay", 40, 0, 0, "No duplicates found") in found
+    assert ("lineitem", 3, 1, 1, "Duplicates found") in found
+    assert ("keys", ["user_id"]) in stored and ("keys", ["songplay_id"]) not in stored
